@@ -214,17 +214,20 @@ def asof_join(
     )
 
 
-def covered_windows(start: Column, end: Column, window_s: int, reach_s: int = 0) -> Column:
-    """Window starts w with ``w < end`` and ``w + window + reach > start``, as an array.
+def covered_windows(
+    start: Column, end: Column, window_s: int, reach_s: int = 0, closed: bool = False
+) -> Column:
+    """Starts of the windows [w, w + window + reach) that meet [start, end), as an array.
 
+    With ``closed`` the end belongs to the interval, so a single sighting counts.
     Empty when the interval is empty or either end is unknown.
     """
     width = F.lit(window_s)
     s, e = F.unix_micros(start) / 1_000_000, F.unix_micros(end) / 1_000_000
     first = (F.floor((s - reach_s - window_s) / width) + 1) * width
-    last = (F.ceil(e / width) - 1) * width
+    last = (F.floor(e / width) if closed else F.ceil(e / width) - 1) * width
     span = F.sequence(F.timestamp_seconds(first), F.timestamp_seconds(last), F.make_interval(secs=width))
-    return F.when((e > s) & (last >= first), span)
+    return F.when(((e >= s) if closed else (e > s)) & (last >= first), span)
 
 
 def active_programs(
@@ -238,7 +241,8 @@ def active_programs(
     """
     return (
         programs.withColumn(
-            "window_start", F.explode(covered_windows(F.col(start), F.col(end), window_s))
+            "window_start",
+            F.explode(covered_windows(F.col(start), F.col(end), window_s, closed=True)),
         )
         .groupBy("airport", "window_start")
         .agg(

@@ -174,12 +174,12 @@ def islands(
         )
         .withColumn("__end", F.coalesce("__inner", "__own"))
         .withColumn("__open", F.last("__end", ignorenulls=True).over(before(wb)))
-        .select(*keys, BUCKET, F.coalesce("__own", "__open").alias("__start"))
+        .select(*keys, BUCKET, F.coalesce("__own", "__open").alias("__begin"))
     )
     return (
         rows.join(starts, [*keys, BUCKET])
-        .withColumn(name, F.coalesce("__local", "__start"))
-        .drop(BUCKET, "__row", "__prev", "__break", "__local", "__start")
+        .withColumn(name, F.coalesce("__local", "__begin"))
+        .drop(BUCKET, "__row", "__prev", "__break", "__local", "__begin")
     )
 
 

@@ -56,7 +56,11 @@ def track_points(
     Height above the field is pressure altitude less elevation, corrected by the
     latest altimeter setting where a METAR of the last two hours is given.
     """
-    near = nearest_airport(obs, airports, name="airport", dist="dist_nm", extra=("elev_ft", "metar_station"))
+    # The box an observation was seen from gives way to the airport nearest to it.
+    seen = obs.drop("airport", "dist_nm", "elev_ft", "metar_station")
+    near = nearest_airport(
+        seen, airports, name="airport", dist="dist_nm", extra=("elev_ft", "metar_station")
+    )
     alt = geo.m_to_ft(F.coalesce("baro_altitude_m", "geo_altitude_m"))
     pts = near.filter(F.col("airport").isNotNull()).withColumn("alt_ft", alt).withColumn("ts", F.col(ts))
     fix: Column = F.lit(0.0)

@@ -7,7 +7,7 @@ unioning with batches written weeks earlier.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StructType
 
 _CLOUDS = "array<struct<cover:string,base_ft:int>>"
 
@@ -61,7 +61,18 @@ _DDL = {
     ),
 }
 
-SCHEMAS: dict[str, StructType] = {k: _parse_datatype_string(v) for k, v in _DDL.items()}
+class _Schemas(dict[str, StructType]):
+    """Parsed on first use: reading DDL needs a running session."""
+
+    def __missing__(self, name: str) -> StructType:
+        self[name] = StructType.fromDDL(_DDL[name])
+        return self[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in _DDL
+
+
+SCHEMAS = _Schemas()
 
 
 def ddl(name: str) -> str:

@@ -54,6 +54,8 @@ def append_bronze(df: DataFrame, root: str, source: str, ingested: str = "ingest
     (
         pinned.observe(seen, F.count("*").alias("rows"))
         .withColumn("date", day).withColumn("hour", hour)
+        # Adaptive execution sizes the pieces: a hot hour is split, quiet ones share a task.
+        .hint("rebalance", "date", "hour")
         .sortWithinPartitions("date", "hour", ingested)
         .write.mode("append").partitionBy("date", "hour").option("compression", "zstd").parquet(target)
     )
@@ -143,12 +145,13 @@ def content_fingerprint(df: DataFrame) -> tuple[int, str]:
 
 def compact(
     spark: SparkSession, root: str, source: str, day: str, schema: StructType | None = None,
-    target_bytes: int = 256 * 1024 * 1024, now: datetime | None = None,
+    now: datetime | None = None,
 ) -> dict[str, int]:
     """Rewrite one closed day into few files per hour, leaving the rows as they are.
 
     The day is written to a staging path, compared with the original by count and row
-    hashes, and only then put in its place by dynamic partition overwrite.
+    hashes, and only then put in its place by dynamic partition overwrite. Piece sizes
+    follow spark.sql.adaptive.advisoryPartitionSizeInBytes.
     """
     if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", day):
         raise ValueError(f"not a day: {day!r}")
@@ -157,21 +160,13 @@ def compact(
     base = schema or SCHEMAS[source]
     full = StructType([*base.fields, *_PARTS])
     target = f"{root}/{source}"
-    part = f"{target}/date={day}"
     before = spark.read.schema(full).parquet(target).filter(F.col("date") == day)
     files = before.select("_metadata.file_path").distinct().count()
-    # A big hour is spread over as many tasks as it has target-size pieces.
-    pieces = max(1, -(-_size(spark, part) // target_bytes))
     stage = f"{root}/_staging/{source}-{uuid.uuid4().hex[:12]}"
-    # Split by place in the source files, which a retried task sees unchanged.
-    place = F.pmod(F.xxhash64("_metadata.file_path", "_metadata.row_index"), F.lit(pieces))
-    spread = (
-        before.repartition("date", "hour") if pieces == 1
-        else before.withColumn("__p", place).repartition(pieces, "date", "hour", "__p").drop("__p")
-    )
     order = [c for c in ("ingested_at",) if c in before.columns]
     (
-        spread.sortWithinPartitions("date", "hour", *order)
+        before.hint("rebalance", "date", "hour")
+        .sortWithinPartitions("date", "hour", *order)
         .write.partitionBy("date", "hour").option("compression", "zstd").parquet(stage)
     )
     staged = spark.read.schema(full).parquet(stage)
