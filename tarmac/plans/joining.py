@@ -210,26 +210,6 @@ def u03(t: Tables):
     return stacked.agg(*[F.max(F.when(F.col("k") == n, F.col("n"))).alias(n) for n, _ in parts])
 
 
-@query("k01_sorted_files", ["v_bronze"], """
-    SELECT strftime(ingested_at, '%Y-%m-%d') AS date, count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM v_bronze GROUP BY 1""")
-def k01(t: Tables):
-    from pyspark.sql import Window
-
-    from tarmac.session import scratch_dir
-    from tarmac.sources.lake import append_bronze
-
-    root = scratch_dir(t.spark, "sorted")
-    append_bronze(t.v_bronze, root, "sightings")
-    rows = t.spark.read.schema(
-        "poll_id string, airport string, ingested_at timestamp, icao24 string, origin_country string, level int, date string, hour string"
-    ).parquet(f"{root}/sightings")
-    # Position in the file against position in time, file by file.
-    w = Window.partitionBy("__file").orderBy("__at")
-    placed = rows.select("date", "ingested_at", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
-    late = placed.withColumn("__bad", F.col("ingested_at") < F.lag("ingested_at").over(w))
-    return late.groupBy("date").agg(F.count("*").alias("n"), F.count_if("__bad").alias("out_of_order"))
-
-
 @query("k02_recent_events", ["v_program"], """
     SELECT ingested_at AS ts, event_type AS kind, airport, CAST(event_id AS VARCHAR) AS detail FROM v_program
     ORDER BY ingested_at DESC, event_type, airport, CAST(event_id AS VARCHAR) LIMIT 9""")

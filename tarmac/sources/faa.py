@@ -43,6 +43,12 @@ def safe_body(body: str | Column) -> Column:
     return F.when(~F.contains(c, F.lit("<!DOCTYPE")), c)
 
 
+def _numbered(records: Column, tag: str) -> Column:
+    return F.transform(
+        records, lambda r, i: F.struct(F.lit(tag).alias("tag"), i.alias("i"), r.alias("r"))
+    )
+
+
 def _sections(landed: DataFrame, body: str) -> DataFrame:
     # The text of each section is cut out beside the parsed form so that records can
     # keep their own source fragment.
@@ -62,7 +68,7 @@ def parse_faa(landed: DataFrame, body: str = "body") -> DataFrame:
     for wrapper, records in WRAPPERS.items():
         for record in records:
             parsed = F.coalesce(sec["s"][wrapper][record], F.array().cast(f"array<{_RECORD}>"))
-            lists.append(F.transform(parsed, lambda r, tag=record: F.struct(F.lit(tag).alias("tag"), r.alias("r"))))
+            lists.append(_numbered(parsed, record))
     rows = (
         _sections(landed, body)
         .withColumn("event_type", event_type(sec["s"]["Name"]))
@@ -70,15 +76,14 @@ def parse_faa(landed: DataFrame, body: str = "body") -> DataFrame:
         .withColumn("__tagged", F.concat(*lists))
         .select(
             "poll_id", "ingested_at", "event_type", F.col("__sec")["t"].alias("__t"),
-            F.posexplode("__tagged").alias("__i", "__e"),
+            F.explode("__tagged").alias("__e"),
         )
     )
     r = F.col("__e")["r"]
-    # The i-th record with this tag in the section text belongs to the i-th parsed one.
+    # The i-th element of a tag in the section text is the i-th parsed record of it.
     tag = F.col("__e")["tag"]
     pattern = F.concat(F.lit("(?s)<"), tag, F.lit(r"(?:\s[^>]*)?>.*?</"), tag, F.lit(">"))
     fragments = F.regexp_extract_all(F.col("__t"), pattern, F.lit(0))
-    own = F.filter(fragments, lambda x: x.rlike("(?i)<arpt>"))
     events = rows.select(
         "poll_id", "ingested_at",
         norm_faa(first_text(*[r[n] for n in AIRPORT])).alias("airport"), "event_type",
@@ -86,9 +91,7 @@ def parse_faa(landed: DataFrame, body: str = "body") -> DataFrame:
         first_text(*[r[n] for n in START]).alias("start_text"),
         first_text(*[r[n] for n in END]).alias("end_text"),
         first_text(*[r[n] for n in AVERAGE]).alias("avg_delay_text"),
-        F.try_element_at(
-            F.when(F.size(own) == F.size(fragments), fragments).otherwise(own), F.col("__i") + 1
-        ).alias("raw_xml"),
+        F.try_element_at(fragments, F.col("__e")["i"] + 1).alias("raw_xml"),
     )
     kept = events.filter(F.col("airport").isNotNull())
     return kept.withColumn("payload_hash", payload_hash(IDENTITY))

@@ -48,6 +48,8 @@ def append_bronze(df: DataFrame, root: str, source: str, ingested: str = "ingest
     spark = df.sparkSession
     target = f"{root}/{source}"
     pinned = conform(df, source) if source in SCHEMAS else df
+    if pinned.isEmpty():
+        return WriteResult(0, 0)
     day, hour = partition_keys(F.col(ingested))
     seen = Observation(f"rows-{uuid.uuid4().hex}")
     was = _size(spark, target)
