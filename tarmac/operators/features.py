@@ -127,13 +127,15 @@ def trend(df: DataFrame, col: str = "n_arrivals", rows: int = 4, name: str = "ar
 
 
 def airport_features(
-    dense: DataFrame, counts: DataFrame, metar: DataFrame, taf_periods: DataFrame,
+    windows: DataFrame, metar: DataFrame, taf_periods: DataFrame,
     programs: DataFrame, airports: DataFrame, runways: DataFrame | None = None,
     t: Thresholds = DEFAULT,
 ) -> DataFrame:
-    """The gold table: one row per airport and window, no gaps."""
-    base = dense.join(counts, list(KEY), "left") if counts is not dense else dense
-    wx = with_weather(base, metar, airports, runways)
+    """The gold table: one row per airport and window, no gaps.
+
+    ``windows`` is the output of ``airport_windows`` on the dense spine.
+    """
+    wx = with_weather(windows, metar, airports, runways)
     ahead = with_outlook(wx, forecast_outlook(taf_periods, t.window_s))
     flags = active_programs(programs, t.window_s)
     full = ahead.join(flags, list(KEY), "left").na.fill(
