@@ -1 +1,136 @@
-"""Queries."""
+"""Streaming queries (S15, R1-R7): each runs to the end of its input and is read back."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tarmac.operators import quality, tracks
+from tarmac.operators.dedupe import with_hash
+from tarmac.plans.intake import state_bodies
+from tarmac.plans.joining import airports
+from tarmac.plans.registry import query
+from tarmac.plans.tracking import GO_AROUNDS, HOLD_HITS
+from tarmac.plans.views import Tables, _sql
+from tarmac.session import scratch_dir
+from tarmac.sources import states
+from tarmac.streaming import events as ev
+from tarmac.streaming import flows
+
+
+def live(t: Tables, view: str) -> DataFrame:
+    """A view over the events table, read as a stream."""
+    schema = t.table("events").schema
+    raw = flows.stream_landing(t.spark, t.sf_dir, schema, glob="events.parquet")
+    return t.spark.sql(_sql(view, 0), events=raw)
+
+
+def finish(t: Tables, df: DataFrame, name: str) -> DataFrame:
+    """Run a streaming frame to the end of its input and read what it wrote."""
+    root = scratch_dir(t.spark, name)
+    flows.run_to_end(flows.start(df, f"{root}/checkpoint", path=f"{root}/out"))
+    return t.spark.read.schema(df.schema).parquet(f"{root}/out")
+
+
+@query("s15_stream_landing", [], """
+    SELECT event_type AS origin_country, event_id % 10 = 0 AS on_ground, count(*) AS n, count(*) FILTER (WHERE event_id % 37 = 5 OR event_id % 97 = 13 OR event_id % 103 = 4) AS rejected
+    FROM events GROUP BY ALL""")
+def s15(t: Tables):
+    path = scratch_dir(t.spark, "landing")
+    state_bodies(t).write.parquet(path)
+    judged = quality.validate_states(states.parse_states(flows.stream_landing(t.spark, path)))
+    out = finish(t, judged.select("origin_country", "on_ground", F.size(quality.REASONS).alias("broken")), "landed")
+    return out.groupBy("origin_country", "on_ground").agg(F.count("*").alias("n"), F.count_if(F.col("broken") > 0).alias("rejected"))
+
+
+@query("r01_stream_silver", ["v_bronze"], "SELECT icao24, origin_country, level, count(*) AS copies FROM (SELECT DISTINCT icao24, origin_country, level FROM v_bronze) d GROUP BY ALL")
+def r01(t: Tables):
+    once = flows.stream_silver(live(t, "v_bronze"), delay="60 days")
+    return finish(t, once.select("icao24", "origin_country", "level", "payload_hash"), "silver").groupBy("icao24", "origin_country", "level").agg(F.count("*").alias("copies"))
+
+
+@query("r02_stream_windows", ["v_flight"], """
+    SELECT departure_airport AS airport, time_bucket(INTERVAL 15 MINUTE, first_seen) AS window_start, count(*) AS n FROM v_flight GROUP BY 1, 2
+    HAVING time_bucket(INTERVAL 15 MINUTE, first_seen) + INTERVAL 30 MINUTE <= (SELECT max(first_seen) FROM v_flight)""")
+def r02(t: Tables):
+    df = live(t, "v_flight").select(F.col("departure_airport").alias("airport"), F.col("first_seen").alias("ts"))
+    return finish(t, flows.stream_windows(df), "windows")
+
+
+@query("r03_stream_segments", ["v_flight"], """
+    SELECT icao24, min(ts) AS segment_start, max(ts) AS segment_end, count(*) AS points FROM (
+      SELECT icao24, ts, sum(fresh) OVER (PARTITION BY icao24 ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM (
+        SELECT icao24, first_seen AS ts, CASE WHEN first_seen - lag(first_seen) OVER (PARTITION BY icao24 ORDER BY first_seen) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM v_flight) f) g
+    GROUP BY icao24, s HAVING max(ts) + INTERVAL 6 HOUR + INTERVAL 15 MINUTE <= (SELECT max(first_seen) FROM v_flight)""")
+def r03(t: Tables):
+    df = live(t, "v_flight").select("icao24", F.col("first_seen").alias("ts"))
+    return finish(t, flows.stream_segments(df, gap="6 hours"), "segments")
+
+
+_CLOSED = "floor(epoch(ts) / 21600) * 21600 + 21600 + 900 <= (SELECT epoch(max(last_contact)) FROM v_track)"
+
+
+@query("r04_stream_events", ["v_track"], f"""
+    SELECT 'go-around' AS kind, airport, icao24, ts, low_ts AS since FROM {GO_AROUNDS} g WHERE {_CLOSED}
+    UNION ALL SELECT 'hold', airport, icao24, ts, since FROM (SELECT airport, icao24, make_timestamp(CAST(sec * 1000000 AS BIGINT)) AS ts,
+      make_timestamp(CAST(first_sec * 1000000 AS BIGINT)) AS since FROM {HOLD_HITS} h WHERE holding) h WHERE {_CLOSED}""")
+def r04(t: Tables):
+    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ev.STATE_STORE)
+    points = tracks.track_points(live(t, "v_track"), airports(t))
+    return finish(t, ev.stream_events(points), "alerts")
+
+
+@query("r05_merge_late", ["v_bronze"], """
+    SELECT strftime(first_seen, '%Y-%m-%d') AS date, count(*) AS n, count(DISTINCT icao24) AS aircraft FROM
+      (SELECT icao24, date_trunc('day', ingested_at) AS first_seen FROM v_bronze GROUP BY icao24, origin_country, level, date_trunc('day', ingested_at)) d GROUP BY 1""")
+def r05(t: Tables):
+    root = scratch_dir(t.spark, "late")
+    rows = with_hash(t.v_bronze).select("icao24", "origin_country", "level", "ingested_at", "payload_hash")
+    # Two deliveries: the second holds rows for days that the first has closed.
+    late = F.pmod(F.xxhash64("ingested_at"), F.lit(5)) == 0
+    rows.filter(~late).write.parquet(f"{root}/in/part=1")
+    rows.filter(late).write.parquet(f"{root}/in/part=2")
+    schema = rows.schema
+
+    def bring(batch: DataFrame, batch_id: int) -> None:
+        flows.merge_late(batch, f"{root}/silver", f"{root}/stage-{batch_id}", "ingested_at", schema)
+
+    for part in (1, 2, 2):
+        src = flows.stream_landing(t.spark, f"{root}/in/part={part}", schema)
+        # The second delivery is replayed under a new checkpoint and must change nothing.
+        flows.run_to_end(flows.start(src, scratch_dir(t.spark, "late-checkpoint"), each_batch=bring))
+    silver = t.spark.read.schema(StructType([*schema.fields, StructField("date", StringType())])).parquet(f"{root}/silver")
+    return silver.groupBy("date").agg(F.count("*").alias("n"), F.count_distinct("icao24").alias("aircraft"))
+
+
+@query("r06_restart", ["v_flight"], "SELECT departure_airport AS airport, count(*) AS n, count(DISTINCT first_seen) AS moments FROM v_flight GROUP BY 1")
+def r06(t: Tables):
+    root = scratch_dir(t.spark, "restart")
+    rows = t.v_flight.select("departure_airport", "first_seen")
+    cut = F.lit("2024-01-15").cast("timestamp")
+    for part in (F.col("first_seen") < cut, F.col("first_seen") >= cut):
+        rows.filter(part).write.mode("append").parquet(f"{root}/in")
+        # Every start resumes from the checkpoint of the one before.
+        src = flows.stream_landing(t.spark, f"{root}/in", rows.schema, files_per_trigger=1)
+        flows.run_to_end(flows.start(src, f"{root}/checkpoint", path=f"{root}/out"))
+    out = t.spark.read.schema(rows.schema).parquet(f"{root}/out")
+    return out.groupBy(F.col("departure_airport").alias("airport")).agg(F.count("*").alias("n"), F.count_distinct("first_seen").alias("moments"))
+
+
+@query("r07_backfill", ["v_flight"], """
+    SELECT strftime(first_seen, '%Y-%m-%d') AS date, departure_airport AS airport, count(*) AS n FROM v_flight
+    WHERE first_seen >= TIMESTAMP '2024-01-05 00:00:00' AND first_seen < TIMESTAMP '2024-01-15 00:00:00' GROUP BY ALL""")
+def r07(t: Tables):
+    path = scratch_dir(t.spark, "backfill")
+
+    def job(begin: datetime, end: datetime) -> DataFrame:
+        days = t.v_flight.filter((F.col("first_seen") >= F.lit(begin)) & (F.col("first_seen") < F.lit(end)))
+        return days.groupBy(F.date_trunc("day", "first_seen").alias("ts"), F.col("departure_airport").alias("airport")).agg(F.count("*").alias("n"))
+
+    # Overlapping runs and a repeat leave the same table as one run.
+    for a, b in ((5, 12), (10, 15), (10, 15)):
+        flows.backfill(job, path, "ts", datetime(2024, 1, a), datetime(2024, 1, b))
+    return t.spark.read.schema("ts timestamp, airport string, n bigint, date string").parquet(path).select("date", "airport", "n")
