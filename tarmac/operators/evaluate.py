@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tarmac.config import DEFAULT, Thresholds
 from tarmac.operators.ordered import islands, running_sum, time_bucket, with_previous
+from tarmac.session import settle
 
 SCORE_BUCKETS = 4096
 
@@ -141,9 +142,14 @@ def long_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def quantile_cuts(values: DataFrame, qs: Sequence[float]) -> DataFrame:
     """Exact quantiles per feature: least value whose share of rows reaches each q."""
-    per = values.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    known = values.filter(F.col("value").isNotNull())
+    return _cuts_of(known.groupBy("feature", "value").agg(F.count("*").alias("n")), qs)
+
+
+def _cuts_of(per: DataFrame, qs: Sequence[float]) -> DataFrame:
     cum = running_sum(per, ["feature"], ["value"], {"upto": F.col("n")}, bucket=value_bucket(F.col("value")))
     totals = per.groupBy("feature").agg(F.sum("n").alias("total"))
+    # One row per feature name the caller listed.
     reach = cum.join(F.broadcast(totals), "feature")
     return reach.groupBy("feature").agg(
         F.array(*[F.min(F.when(F.col("upto") >= F.col("total") * q, F.col("value"))) for q in qs]).alias("cuts")
@@ -160,20 +166,24 @@ def drift(
     """
     ref, now = long_features(reference, features), long_features(live, features)
     both = ref.withColumn("live", F.lit(0)).unionByName(now.withColumn("live", F.lit(1)))
-    is_live, is_ref = F.col("live") == 1, F.col("live") == 0
-
-    sizes = both.groupBy("feature").agg(
-        F.count_if(is_ref).alias("ref_rows"), F.count_if(is_live).alias("live_rows"),
-        F.count_if(is_ref & F.col("value").isNull()).alias("ref_nulls"),
-        F.count_if(is_live & F.col("value").isNull()).alias("live_nulls"),
+    # Both inputs are read once; everything below starts from the distinct values.
+    values = settle(
+        both.groupBy("feature", "value").agg(
+            F.count_if(F.col("live") == 0).alias("r"), F.count_if(F.col("live") == 1).alias("l")
+        ),
+        "drift-values",
+    )
+    null = F.col("value").isNull()
+    sizes = values.groupBy("feature").agg(
+        F.sum("r").alias("ref_rows"), F.sum("l").alias("live_rows"),
+        F.sum(F.when(null, F.col("r")).otherwise(0)).alias("ref_nulls"),
+        F.sum(F.when(null, F.col("l")).otherwise(0)).alias("live_nulls"),
     )
     ref_n = F.col("ref_rows") - F.col("ref_nulls")
     live_n = F.col("live_rows") - F.col("live_nulls")
-
-    per = both.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(
-        F.count_if(is_ref).alias("r"), F.count_if(is_live).alias("l")
-    )
-    cuts = quantile_cuts(ref, [i / bins for i in range(1, bins)])
+    per = values.filter(~null)
+    seen = per.filter("r > 0").select("feature", "value", F.col("r").alias("n"))
+    cuts = _cuts_of(seen, [i / bins for i in range(1, bins)])
     binned = (
         per.join(F.broadcast(cuts), "feature")
         .withColumn("bin", F.size(F.filter("cuts", lambda x: F.col("value") > x)))

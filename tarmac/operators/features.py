@@ -32,35 +32,36 @@ def spine(airports: DataFrame, t0: Column | datetime, t1: Column | datetime, win
 
 
 def airport_windows(
-    dense: DataFrame, arrivals: DataFrame, go_arounds: DataFrame, holds: DataFrame,
-    approaches: DataFrame, aircraft: DataFrame, *, widebody: Sequence[str] = WIDEBODY_TYPES,
+    dense: DataFrame, events: DataFrame, holds: DataFrame, aircraft: DataFrame, *, widebody: Sequence[str] = WIDEBODY_TYPES,
     window_s: int = 900,
 ) -> DataFrame:
     """Counts, means and fleet mix per airport and window.
 
-    The event tables are stacked and reduced in one aggregation, so they cost one
-    shuffle together. An event belongs to the window in which it became known.
+    ``events`` comes from ``point_events``, which finds approaches, go-arounds and
+    arrivals in one pass. Holds are stacked on it and all of it is reduced in one
+    aggregation. An event belongs to the window in which it became known.
     """
-    landed = with_aircraft(arrivals, aircraft.select("icao24", "typecode", "built"))
+    fleet = aircraft.select("icao24", "typecode", "built")
+    known = with_aircraft(events, fleet)
+    landed = F.col("seen").isNotNull()
     age = aircraft_age(F.col("built"), F.year("ts")).cast("double")
     wide = F.when(F.col("typecode").isNotNull(), F.col("typecode").isin(*widebody).cast("double"))
-    zero = F.lit(None).cast("double")
+    none = F.lit(None).cast("double")
+    one = F.lit(1.0)
 
     def part(df: DataFrame, at: str, **cols: Column) -> DataFrame:
         names = ("arrival", "go_around", "hold", "hold_s", "speed_ms", "wide", "age")
         return df.select(
             "airport", window_key(F.col(at), window_s).alias("window_start"),
-            *[cols.get(n, zero).alias(n) for n in names],
+            *[cols.get(n, none).alias(n) for n in names],
         )
 
-    one = F.lit(1.0)
-    events = (
-        part(landed, "ts", arrival=one, wide=wide, age=age)
-        .unionByName(part(go_arounds, "ts", go_around=one))
-        .unionByName(part(holds, "end_ts", hold=one, hold_s=F.col("duration_s")))
-        .unionByName(part(approaches, "ts", speed_ms=F.col("velocity_ms")))
-    )
-    counts = events.groupBy(*KEY).agg(
+    stacked = part(
+        known, "ts", arrival=F.when(landed, one), go_around=F.when(F.col("went_around"), one),
+        speed_ms=F.when(F.col("on_approach"), F.col("velocity_ms")),
+        wide=F.when(landed, wide), age=F.when(landed, age),
+    ).unionByName(part(holds, "end_ts", hold=one, hold_s=F.col("duration_s")))
+    counts = stacked.groupBy(*KEY).agg(
         F.count("arrival").alias("n_arrivals"), F.count("go_around").alias("n_go_arounds"),
         F.count("hold").alias("n_holds"), F.avg("hold_s").alias("mean_hold_duration"),
         F.avg("speed_ms").alias("mean_approach_speed"), F.avg("wide").alias("share_widebody"),

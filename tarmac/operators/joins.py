@@ -14,6 +14,9 @@ from tarmac.operators.ordered import time_bucket
 from tarmac.session import broadcast_if_small
 
 CELL_DEG = 1.0
+# Airports that may stand behind a broadcast cell index; each fills at most a few
+# hundred cells.
+MAX_AIRPORTS = 2500
 
 
 def tracked_events(events: DataFrame, airports: DataFrame, code: str = "airport") -> DataFrame:
@@ -52,16 +55,25 @@ def _cells_of_boxes(boxes: DataFrame, payload: Sequence[str]) -> DataFrame:
 
     Expects lamin, lamax, lomin, lomax. Longitude cells wrap at the antimeridian, so
     a rectangle may reach beyond 180 degrees. The array of a cell is bounded by how
-    many airports lie around one square degree.
+    many airports lie around one square degree. Broadcast only when the airports have
+    been counted and found few, which bounds the cells.
     """
     wrap = int(360 / CELL_DEG)
-    return (
-        boxes.withColumn("__la", F.explode(F.sequence(_cell(F.col("lamin")), _cell(F.col("lamax")))))
-        .withColumn("__lo", F.explode(F.sequence(_cell(F.col("lomin")), _cell(F.col("lomax")))))
+    edges = boxes.withColumns(
+        {
+            "__a0": _cell(F.col("lamin")), "__a1": _cell(F.col("lamax")),
+            "__o0": _cell(F.col("lomin")), "__o1": _cell(F.col("lomax")),
+        }
+    )
+    cells = (
+        edges.withColumn("__la", F.explode(F.sequence("__a0", "__a1")))
+        .withColumn("__lo", F.explode(F.sequence("__o0", "__o1")))
         .withColumn("__lo", F.pmod(F.col("__lo"), F.lit(wrap)))
         .groupBy("__la", "__lo")
         .agg(F.sort_array(F.collect_set(F.struct(*payload))).alias("__near"))
     )
+    few = len(boxes.select("icao").limit(MAX_AIRPORTS + 1).collect()) <= MAX_AIRPORTS
+    return F.broadcast(cells) if few else cells
 
 
 def _with_cell(obs: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -87,7 +99,7 @@ def assign_boxes(
     hits = F.filter("__near", lambda b: geo.in_bbox(F.col(lat), F.col(lon), b))
     return (
         _with_cell(obs, lat, lon)
-        .join(broadcast_if_small(cells), ["__la", "__lo"], "inner")
+        .join(cells, ["__la", "__lo"], "inner")
         .withColumn(name, F.explode(F.transform(hits, lambda b: b["icao"])))
         .drop("__la", "__lo", "__near")
     )
@@ -126,7 +138,7 @@ def nearest_airport(
     best = F.array_min(F.filter(ranked, lambda r: r["nm"] <= max_nm))
     out = (
         _with_cell(obs, lat, lon)
-        .join(broadcast_if_small(cells), ["__la", "__lo"], "left")
+        .join(cells, ["__la", "__lo"], "left")
         .withColumn("__best", best)
     )
     return out.select(

@@ -8,7 +8,7 @@ time bucket) shuffle; each rule looks back a bounded time, which the halo covers
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from tarmac.config import DEFAULT, Thresholds
@@ -17,6 +17,7 @@ from tarmac.operators.joins import asof_join, nearest_airport
 from tarmac.operators.ordered import (
     before, bucket_window, gap_breaks, islands, owned, so_far, time_bucket, with_halo,
 )
+from tarmac.session import settle
 
 STANDARD_HPA = 1013.25
 FT_PER_HPA = 27.3
@@ -114,14 +115,7 @@ def approach_points(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     return owned(_with_approach(df, t)).filter("on_approach").drop("__prev", "__sec", "on_approach")
 
 
-def go_arounds(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
-    """One row per aborted approach, at the first point where all of the rule holds.
-
-    Low on approach near the field within the horizon; since then no ground contact;
-    climbing without a break for the sustain time; regained more than the height.
-    """
-    df, w = _framed(points, t, t.go_around_horizon_s)
-    df = _with_approach(df, t)
+def _with_go_around(df: DataFrame, w: WindowSpec, t: Thresholds) -> DataFrame:
     prev, sec = F.col("__prev"), F.col("__sec")
     climbing = F.coalesce(F.col("vertical_rate_ms") > t.climb_ms, F.lit(False))
     was_climbing = F.coalesce(prev["vertical_rate_ms"] > t.climb_ms, F.lit(False))
@@ -150,7 +144,17 @@ def go_arounds(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     first = F.col("__fire").isNotNull() & (
         F.col("__fired").isNull() | (F.col("__fired") < F.col("__climb"))
     )
-    return owned(df.filter(first)).select(
+    return df.withColumn("went_around", first)
+
+
+def go_arounds(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
+    """One row per aborted approach, at the first point where all of the rule holds.
+
+    Low on approach near the field within the horizon; since then no ground contact;
+    climbing without a break for the sustain time; regained more than the height.
+    """
+    df, w = _framed(points, t, t.go_around_horizon_s)
+    return owned(_with_go_around(_with_approach(df, t), w, t).filter("went_around")).select(
         "airport", "icao24", "ts",
         F.timestamp_micros((F.col("__low")["__sec"] * 1_000_000).cast("bigint")).alias("low_ts"),
         F.col("__low")["agl_ft"].alias("low_agl_ft"), "agl_ft",
@@ -197,7 +201,7 @@ def hold_points(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
 
 def holds(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     """Holding patterns with their duration; overlapping ten-minute hits are merged."""
-    hits = hold_points(points, t).filter("holding")
+    hits = settle(hold_points(points, t).filter("holding"), "hold-hits")
     merged = islands(
         hits, ["icao24", "airport"], ["ts"], gap_breaks("ts", t.hold_window_s),
         bucket=time_bucket("ts", t.bucket_s), name="__h",
@@ -241,13 +245,14 @@ def racetracks(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
         | ((F.unix_micros(c["ts"]) - F.unix_micros(p["ts"])) > limit),
         bucket=time_bucket("ts", t.bucket_s), carry=["turn"], name="__run",
     )
-    turns = (
+    turns = settle(
         runs.filter("turn != 0")
         .groupBy("icao24", "airport", F.col("__run")["ts"].alias("turn_start"))
         .agg(F.max("ts").alias("ts"), F.sum("delta").alias("turned"))
         .filter(
             F.abs(F.abs(F.col("turned")) - t.racetrack_turn_deg) <= t.racetrack_tolerance_deg
-        )
+        ),
+        "half-turns",
     )
     width = max(t.bucket_s, t.racetrack_window_s)
     halo = with_halo(turns, "ts", width_s=width, lookback_s=t.racetrack_window_s)
@@ -273,25 +278,44 @@ def racetracks(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     )
 
 
-def arrivals(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
-    """Landings: air to ground near the field, or a track that ends low, slow and close.
-
-    ``seen`` tells the two apart, because low-altitude coverage is known to have holes.
-    """
-    df, w = _framed(points, t, t.segment_gap_s, lookahead_s=t.segment_gap_s)
-    df = _with_approach(df, t)
+def _with_arrival(df: DataFrame, w: WindowSpec, t: Thresholds) -> DataFrame:
     next_sec = F.lead("__sec").over(w)
-    df = df.withColumn("__last", next_sec.isNull() | (next_sec - F.col("__sec") > t.segment_gap_s))
+    last = next_sec.isNull() | (next_sec - F.col("__sec") > t.segment_gap_s)
+    df = df.withColumn("__last", last)
     near = F.col("dist_nm") <= t.field_nm
     touched = near & F.col("on_ground") & (F.col("__prev")["on_ground"] == F.lit(False))
     faded = (
         near & F.col("__last") & ~F.col("on_ground") & F.col("on_approach")
         & (F.col("agl_ft") < t.last_seen_agl_ft) & (F.col("velocity_ms") <= t.last_seen_max_ms)
     )
-    seen = F.when(F.coalesce(touched, F.lit(False)), "touchdown").when(
-        F.coalesce(faded, F.lit(False)), "last_seen"
+    return df.withColumn(
+        "seen",
+        F.when(F.coalesce(touched, F.lit(False)), "touchdown").when(
+            F.coalesce(faded, F.lit(False)), "last_seen"
+        ),
     )
+
+
+def arrivals(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
+    """Landings: air to ground near the field, or a track that ends low, slow and close.
+
+    ``seen`` tells the two apart, because low-altitude coverage is known to have holes.
+    """
+    df, w = _framed(points, t, t.segment_gap_s, lookahead_s=t.segment_gap_s)
     return (
-        owned(df.withColumn("seen", seen)).filter(F.col("seen").isNotNull())
+        owned(_with_arrival(_with_approach(df, t), w, t)).filter(F.col("seen").isNotNull())
         .select("airport", "icao24", "ts", "seen")
     )
+
+
+def point_events(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
+    """Approach points, go-arounds and arrivals in one pass over one shuffle.
+
+    Rows carry on_approach, went_around and seen; the rules are those of the single
+    detectors. Points with none of the three are dropped.
+    """
+    df, w = _framed(points, t, t.go_around_horizon_s, lookahead_s=t.segment_gap_s)
+    flagged = _with_arrival(_with_go_around(_with_approach(df, t), w, t), w, t)
+    return owned(flagged).filter("on_approach OR went_around OR seen IS NOT NULL").select(
+        "airport", "icao24", "ts", "velocity_ms", "on_approach", "went_around", "seen"
+    )

@@ -61,7 +61,7 @@ def track_spine(t: Tables):
 def gold_counts(t: Tables):
     p = points(t)
     return features.airport_windows(
-        track_spine(t), tracks.arrivals(p), tracks.go_arounds(p), tracks.holds(p), tracks.approach_points(p), register(t)
+        track_spine(t), tracks.point_events(p), tracks.holds(p), register(t)
     )
 
 

@@ -19,8 +19,14 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Sets and structs per group stay in a hash map longer before sorting sets in.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
+# Only a new session can take these. Recording the Python call site of every column
+# nearly doubles the time to build a plan.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings on a session somebody else built."""
@@ -33,7 +39,7 @@ def build_session(master: str | None = None, app: str = "tarmac", **extra: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -57,6 +63,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a small reduced result to the scratch folder and read it back.
+
+    For results that several later steps read: they then start from files instead of
+    repeating the work, and a lost executor costs a re-read. Runs a job when called.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Rows a lookup side may have before it stops being broadcast.
 BROADCAST_ROW_BOUND = 1_000_000
 

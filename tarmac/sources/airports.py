@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.operators.quality import check_airports
@@ -15,11 +18,24 @@ AIRPORTS = (
 )
 
 
+def inline(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    """Literal rows as part of the plan itself (an Arrow local relation)."""
+    schema = SCHEMAS["airports"]
+    columns = list(zip(*rows, strict=True))
+    table = pa.table(
+        {
+            f.name: pa.array(list(c), pa.float64() if f.dataType.simpleString() == "double" else pa.string())
+            for f, c in zip(schema.fields, columns, strict=True)
+        }
+    )
+    return spark.createDataFrame(table)
+
+
 def airports_df(spark: SparkSession, rows=AIRPORTS) -> DataFrame:
     """The dimension, checked: an empty or faulty one stops the job."""
     if not rows:
         raise ValueError("no airports given")
-    df = spark.createDataFrame(list(rows), SCHEMAS["airports"])
+    df = inline(spark, rows)
     if rows is not AIRPORTS:
         require_valid(df)
     return df
