@@ -78,8 +78,11 @@ def test_bounding_box(spark):
     assert b["lamax"] - b["lamin"] == pytest.approx(2.0)
     assert b["lomax"] - b["lomin"] == pytest.approx(2 / 0.75886, rel=1e-3)
     assert b["lomin"] < -73.7789 < b["lomax"]
+    # 1000 nm is 16.7 degrees of latitude and, at 78.246 N, 81.8 of longitude.
     b = box(78.246, 15.4656, 1000)
-    assert (b["lamax"], b["lomin"], b["lomax"]) == (90.0, -180.0, 180.0)
+    assert b["lamax"] == 90.0 and -180 <= b["lomin"] and b["lomax"] == pytest.approx(97.28, abs=0.01)
+    b = box(78.246, 120.0, 1000)
+    assert b["lomax"] == 180.0
     with pytest.raises(ValueError, match="positive"):
         geo.bounding_box(F.lit(1.0), F.lit(1.0), 0)
 
