@@ -9,7 +9,9 @@ from dataclasses import dataclass
 class Thresholds:
     # tracks
     segment_gap_s: int = 900
-    bucket_s: int = 21_600
+    # Width of the time buckets a track is cut into. Wider means fewer halo copies,
+    # narrower means smaller tasks for a busy aircraft.
+    bucket_s: int = 7200
     # approach
     approach_nm: float = 25.0
     approach_max_alt_ft: float = 8000.0

@@ -75,7 +75,7 @@ def calibration(
 
 def lead_time(
     scored: DataFrame, threshold: float, p: str = "p_delay", y: str = "target", ts: str = "ts",
-    keys: Sequence[str] = ("model_version", "airport"), bucket_s: int = 21_600,
+    keys: Sequence[str] = ("model_version", "airport"), bucket_s: int = 3600,
 ) -> DataFrame:
     """Per delay onset: minutes the alarm had already stood (null when it had not)."""
     known = scored.filter(F.col(p).isNotNull() & F.col(y).isNotNull())

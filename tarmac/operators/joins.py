@@ -172,7 +172,7 @@ def with_aircraft(obs: DataFrame, aircraft: DataFrame, key: str = "icao24") -> D
 def asof_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], left_ts: str, right_ts: str,
     *, tolerance_s: int | None = None, right_cols: Sequence[str] | None = None,
-    right_tie: Sequence[str] = (), bucket_s: int = 21_600, prefix: str = "",
+    right_tie: Sequence[str] = (), bucket_s: int = 3600, prefix: str = "",
 ) -> DataFrame:
     """Latest right row at or before each left row, per key; left rows all stay.
 

@@ -106,7 +106,8 @@ def shuffled_labels(df: DataFrame, y: str = "target", seed: int = 11) -> DataFra
     """The same labels in another order: a control on which no model may pass the gate.
 
     Rows are paired with labels by rank of two hashes inside hash groups, so classes
-    keep their sizes and no task sees all rows.
+    keep their sizes and no task sees all rows. Rows are taken to differ, as feature
+    rows do by airport and window.
     """
     from pyspark.sql import Window
 

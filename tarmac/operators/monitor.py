@@ -107,7 +107,7 @@ def credit_days(ledger: DataFrame) -> DataFrame:
 
 def poll_gaps(
     log: DataFrame, cadence: dict[str, float] | None = None, factor: float = 3.0,
-    keys: Sequence[str] = ("source",), bucket_s: int = 21_600, default_s: float = 300.0,
+    keys: Sequence[str] = ("source",), bucket_s: int = 3600, default_s: float = 300.0,
 ) -> DataFrame:
     """Silences longer than ``factor`` times the cadence of their source."""
     cadence = CADENCE_S if cadence is None else cadence
@@ -129,7 +129,7 @@ def poll_gaps(
 def program_intervals(
     sightings: DataFrame, gap_s: float = 900, ts: str = "ingested_at",
     keys: Sequence[str] = ("airport", "event_type"), log: DataFrame | None = None,
-    bucket_s: int = 21_600,
+    bucket_s: int = 3600,
 ) -> DataFrame:
     """Repeated sightings of a program as intervals.
 

@@ -72,6 +72,8 @@ def track_points(
         pts = asof_join(
             pts, setting, ["metar_station"], "ts", "obs_time",
             tolerance_s=pressure_age_s, right_cols=["altimeter_hpa"], right_tie=["altimeter_hpa"],
+            # Short buckets: the few reports are copied, the many points are spread.
+            bucket_s=900,
         )
         fix = F.coalesce((F.col("altimeter_hpa") - STANDARD_HPA) * FT_PER_HPA, F.lit(0.0))
     return pts.withColumn("agl_ft", F.col("alt_ft") + fix - F.coalesce("elev_ft", F.lit(0.0)))

@@ -70,7 +70,7 @@ def r03(t: Tables):
     return finish(t, flows.stream_segments(df, gap="6 hours"), "segments")
 
 
-_CLOSED = "floor(epoch(ts) / 21600) * 21600 + 21600 + 900 <= (SELECT epoch(max(last_contact)) FROM v_track)"
+_CLOSED = "floor(epoch(ts) / 7200) * 7200 + 7200 + 900 <= (SELECT epoch(max(last_contact)) FROM v_track)"
 
 
 @query("r04_stream_events", ["v_track"], f"""
