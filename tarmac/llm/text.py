@@ -13,6 +13,10 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
+#: Kinds of bytes: white space, letters and digits (all bytes of other scripts too), marks.
+KINDS = np.where(SPACE, 0, 2).astype(np.uint8)
+KINDS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+PLAIN = np.where(SPACE, 0, 1).astype(np.uint8)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 #: Base of the polynomial word hash and its inverse modulo 2**64.
 BASE = 0x5851F42D4C957F2D
@@ -74,25 +78,24 @@ def _power_table(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def words(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def words(column: pa.Array, marks_apart: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, in order, and the first word's place of each row (one more than rows).
 
-    A word is a run of bytes other than white space; A-Z count as a-z if ``lower``.
+    A word is a run of bytes other than white space; with ``marks_apart`` a run of marks is a
+    word of its own. A-Z count as a-z.
     """
     data, at = raw(column)
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
-    space = SPACE[data]
-    starts = ~space
-    ends = starts.copy()
-    starts[1:] &= space[:-1]
-    ends[:-1] &= space[1:]
-    inner = at[(at > 0) & (at < n)]
-    starts[inner] = ~space[inner]
-    ends[inner - 1] = ~space[inner - 1]
-    first, last = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    kinds = (KINDS if marks_apart else PLAIN)[data]
+    edge = np.ones(n + 1, dtype=bool)
+    np.not_equal(kinds[1:], kinds[:-1], out=edge[1:-1])
+    edge[at] = True
+    cuts = np.flatnonzero(edge)
+    solid = kinds[cuts[:-1]] != 0
+    first, last = cuts[:-1][solid], cuts[1:][solid]
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((LOWER[data] if lower else data).astype(np.uint64) * _power_table(BASE, n) + _power_table(BASE, n), out=sums[1:])
+    np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * _power_table(BASE, n), out=sums[1:])
     hashes = (sums[last] - sums[first]) * _power_table(BASE_INVERSE, n)[first]
     return mix(hashes), np.searchsorted(first, at).astype(np.int64)
