@@ -35,7 +35,7 @@ class Sketch:
 
     k: int = 7
     picks: int = 2
-    functions: int = 64
+    functions: int = 32
 
 
 @lru_cache(maxsize=8)
@@ -44,6 +44,17 @@ def _factors(functions: int) -> np.ndarray:
     return np.random.default_rng(functions).integers(0, 2**32, functions, dtype=np.uint32) | np.uint32(1)
 
 
+_kept: list[np.ndarray] = []
+
+
+def _buffer(cells: int) -> np.ndarray:
+    if cells > CELLS:
+        return np.empty(cells, dtype=np.uint32)
+    if not _kept:
+        _kept.append(np.empty(CELLS, dtype=np.uint32))
+    return _kept[0]
+
+
 def _numbered(points: np.ndarray, sketch: Sketch) -> np.ndarray:
     """A 64-bit value for each k-mer together with the number of equal ones before it."""
     k = min(sketch.k, len(points))
@@ -80,10 +91,14 @@ def _smallest(low: np.ndarray, picks: int, factors: np.ndarray) -> np.ndarray:
     filled = np.resize(low, width << folds)
     least = np.empty((len(factors), width), dtype=np.uint32)
     step = max(1, CELLS // len(filled))
+    buffer = _buffer(max(CELLS, len(filled)))
     for lo in range(0, len(factors), step):
-        rows = filled * factors[lo : lo + step, None]
+        some = factors[lo : lo + step, None]
+        # One buffer for all texts: fresh pages for every table would cost more than the arithmetic.
+        rows = buffer[: len(some) * len(filled)].reshape(len(some), -1)
+        np.multiply(filled, some, out=rows)
         for k in range(folds - 1, -1, -1):
-            rows = np.minimum(rows[:, : width << k], rows[:, width << k :])
+            rows = np.minimum(rows[:, : width << k], rows[:, width << k : width << k + 1], out=rows[:, : width << k])
         least[lo : lo + step] = rows
     below = _lowest(least, min(picks, width))
     at = (below[:, :, None] + np.arange(0, width << folds, width)).reshape(len(factors), -1)

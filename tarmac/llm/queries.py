@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import fingerprints, secrets
+from tarmac.llm import fingerprints, linededup, ngramjoin, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,24 @@ def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(_documents(spark, sf_dir))
 
 
+@_register
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@_register
+def op3_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digest(_documents(spark, sf_dir))
+
+
+SQL["op3_line_runs"] = linededup.SQL
+
+
+@_register
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.near_duplicates(_documents(spark, sf_dir)).drop("tie")
+
+
 @_register
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(_documents(spark, sf_dir))
