@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tarmac.llm.text import shuffle_width, text_column
+from tarmac.llm.text import shuffle_width, small_batches, text_column
 from tarmac.session import scratch_dir, settle
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -102,6 +102,7 @@ class Runs:
 
 def document_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS) -> DataFrame:
     """(doc_id, line_key) of each row's distinct long enough lines."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

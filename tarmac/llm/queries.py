@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import fingerprints, linededup, ngramjoin, quality, secrets
+from tarmac.llm import fingerprints, linededup, ngramjoin, packing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,6 +40,11 @@ def op3_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op3_line_runs"] = linededup.SQL
 
 
+@_register
+def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @_register
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.near_duplicates(_documents(spark, sf_dir)).drop("tie")

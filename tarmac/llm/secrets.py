@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from tarmac.llm.automaton import Automaton, compile_rules
-from tarmac.llm.text import blocks, text_column
+from tarmac.llm.text import blocks, small_batches, text_column
 
 LANE, WARM_UP = 256, 32
 SEEN = 12
@@ -174,6 +174,7 @@ def scanner(rules: tuple[Rule, ...] = RULES) -> Scanner:
 
 def find_secrets(docs: DataFrame, text: str = "text", into: str = "secrets", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows with an array of (kind, start, end) spans; an existing column of that name is replaced."""
+    small_batches(docs.sparkSession)
     docs = docs.drop(into)
     schema = StructType([*docs.schema.fields, StructField(into, SPAN)])
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
@@ -197,7 +198,8 @@ def digest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     found = find_secrets(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "secrets")
     listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("secrets", lambda s: s["kind"].isin(*kinds))
-    counts = [F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast(LongType()).alias(f"n_{k}") for k in kinds]
+    of = lambda kind: F.filter("secrets", lambda s: s["kind"] == F.lit(kind))
+    counts = [F.size(of(k)).cast(LongType()).alias(f"n_{k}") for k in kinds]
     return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"))
 
 
@@ -206,6 +208,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataF
 
     Overlapping spans (a kind inside another) become one mark. Text without spans is not changed.
     """
+    small_batches(docs.sparkSession)
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,6 +29,11 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand Python a few MB at a time: long texts make batches of thousands of rows too large for a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit of 64-bit values over the result (a bijection)."""
     x = x ^ (x >> np.uint64(30))
