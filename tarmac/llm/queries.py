@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import fingerprints, linededup, neighbours, ngramjoin, packing, quality, secrets
+from tarmac.llm import bpe, fingerprints, linededup, neighbours, ngramjoin, packing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -56,6 +56,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(_documents(spark, sf_dir))
 
 
+@_register
+def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @_register
 def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
