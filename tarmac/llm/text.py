@@ -83,24 +83,31 @@ def _power_table(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def words(column: pa.Array, marks_apart: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, in order, and the first word's place of each row (one more than rows).
+def spans(column: pa.Array, marks_apart: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes with A-Z as a-z, the first and past-the-last place of every word, and each row's first word (one more than rows).
 
     A word is a run of bytes other than white space; with ``marks_apart`` a run of marks is a
-    word of its own. A-Z count as a-z.
+    word of its own.
     """
     data, at = raw(column)
-    n = len(data)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
     kinds = (KINDS if marks_apart else PLAIN)[data]
-    edge = np.ones(n + 1, dtype=bool)
+    edge = np.ones(len(data) + 1, dtype=bool)
     np.not_equal(kinds[1:], kinds[:-1], out=edge[1:-1])
     edge[at] = True
     cuts = np.flatnonzero(edge)
     solid = kinds[cuts[:-1]] != 0
-    first, last = cuts[:-1][solid], cuts[1:][solid]
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * _power_table(BASE, n), out=sums[1:])
-    hashes = (sums[last] - sums[first]) * _power_table(BASE_INVERSE, n)[first]
-    return mix(hashes), np.searchsorted(first, at).astype(np.int64)
+    first = cuts[:-1][solid]
+    return LOWER[data], first, cuts[1:][solid], np.searchsorted(first, at).astype(np.int64)
+
+
+def hashed(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each range of bytes."""
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power_table(BASE, len(data)), out=sums[1:])
+    return mix((sums[last] - sums[first]) * _power_table(BASE_INVERSE, len(data) + 1)[first])
+
+
+def words(column: pa.Array, marks_apart: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, in order, and the first word's place of each row (one more than rows)."""
+    data, first, last, at = spans(column, marks_apart)
+    return hashed(data, first, last), at
