@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, fingerprints, langmodel, linededup, neighbours, ngramjoin, packing, quality, secrets
+from tarmac.llm import bpe, fingerprints, langmodel, linededup, neighbours, ngramjoin, packing, quality, secrets, tokencounts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,6 +46,11 @@ def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_register
+def op5_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.maintained(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @_register
 def op6_maximum_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langmodel.score(_documents(spark, sf_dir))
