@@ -1,57 +1,85 @@
-"""Token ids of a tokenizer whose pieces never cross white space, by remembering words.
+"""Token ids of a word-wise tokenizer, by remembering words.
 
-White space parts a text into words that such a tokenizer encodes each for itself, and most words
-of a corpus are met again and again. Each Python process keeps the ids of the words it has met;
-new ones are encoded by the ``tokenizers`` library, many in one call, parted by a special token.
+The tokenizer drops white space and encodes runs of letters, digits and marks each for itself,
+and most words of a corpus are met again and again. Each Python process keeps the ids of the
+words it has met, and of the runs in them; new runs are encoded by the ``tokenizers`` library,
+many in one call. A run's last token is marked as the end of a word, which parts the result.
 """
 
 from __future__ import annotations
 
 from functools import lru_cache
+from unicodedata import normalize
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
-#: Words remembered by one process, and new words encoded in one call.
-MOST_WORDS, TOGETHER = 300_000, 256
+from tarmac.llm.bpe import UNSURE
+
+# Fixed value: how the tokenizer parts a normalised text.
+RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Words (and runs) remembered by one process, and runs encoded in one call.
+MOST_WORDS, TOGETHER = 400_000, 512
 
 
 class WordEncoder:
-    """Ids as little-endian 32-bit bytes. For tokenizers that drop white space and split at it."""
+    """Ids as little-endian 32-bit bytes."""
 
     def __init__(self, path: str):
         self.own = Tokenizer.from_file(path)
         self.own.no_truncation()
         self.own.no_padding()
-        added = self.own.get_added_tokens_decoder()
-        self.mark_id, token = min(added.items())
-        self.mark = token.content
+        self.special = [t.content for t in self.own.get_added_tokens_decoder().values()]
+        ids = self.own.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(ids.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in ids.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
         parted = [t.split() for t in texts]
         new = set().union(*parted).difference(self.known) if parted else set()
         if len(self.known) + len(new) > MOST_WORDS:
             self.known.clear()
             new = set().union(*parted)
-        self._learn(list(new))
+        if len(self.runs) > MOST_WORDS:
+            self.runs.clear()
+        if new:
+            self._learn(new)
         look = self.known.__getitem__
         return [b"".join(map(look, words)) for words in parted]
 
-    def _learn(self, words: list[bytes]) -> None:
-        plain, marked = [], []
+    def _learn(self, words: set[bytes]) -> None:
+        runs_of: dict[bytes, list[str]] = {}
         for w in words:
-            (marked if self.mark.encode() in w else plain).append(w)
-        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)] + [[w] for w in marked]
-        lines = [self.mark.join(w.decode("utf-8", "replace") for w in g) for g in groups]
-        for group, found in zip(groups, self.own.encode_batch_fast(lines, add_special_tokens=False), strict=True):
+            text = w.decode("utf-8", "replace")
+            if not text.isascii():
+                if UNSURE.search(text):
+                    self.known[w] = self._whole(text)
+                    continue
+                text = normalize("NFC", text)
+            if "<|" in text and any(s in text for s in self.special):
+                self.known[w] = self._whole(text)
+                continue
+            # The library lowers each letter for itself, also a sigma at the end of a word.
+            runs_of[w] = RUNS.findall(text.replace("Σ", "σ").lower())
+        wanted = list(set().union(*runs_of.values()).difference(self.runs))
+        groups = [wanted[i : i + TOGETHER] for i in range(0, len(wanted), TOGETHER)]
+        for group, found in zip(groups, self.own.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(found.ids, dtype="<u4")
-            if len(group) == 1:
-                self.known[group[0]] = ids.tobytes()
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(group):  # the library parts a run otherwise: one by one
+                self.runs.update((r, self._whole(r)) for r in group)
                 continue
-            cuts = np.flatnonzero(ids == self.mark_id)
-            flat, starts, ends = ids.tobytes(), [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-            self.known.update((w, flat[a:b]) for w, a, b in zip(group, starts, ends, strict=True))
+            flat, ends = ids.tobytes(), (4 * cuts).tolist()
+            self.runs.update((r, flat[a:b]) for r, a, b in zip(group, [0, *ends], ends, strict=False))
+        look = self.runs.__getitem__
+        self.known.update((w, b"".join(map(look, runs))) for w, runs in runs_of.items())
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.own.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
