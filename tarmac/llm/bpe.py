@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
-from tarmac.llm.text import blocks, small_batches, text_column
+from tarmac.llm.text import blocks, prepare, text_column
 
 # Fixed value: how the byte-level scheme parts a text.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -242,7 +242,7 @@ def bpe(path: str) -> Bpe:
 
 def with_tokens(docs: DataFrame, tokenizer: str, text: str = "text", into: str = "tokens") -> DataFrame:
     """The rows with their ids as an array of int; a column of that name is replaced."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.drop(into)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +259,7 @@ def with_tokens(docs: DataFrame, tokenizer: str, text: str = "text", into: str =
 
 def with_text(docs: DataFrame, tokenizer: str, tokens: str = "tokens", into: str = "decoded") -> DataFrame:
     """The rows with the text that their ids spell; null ids spell the empty text."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.drop(into)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +274,7 @@ def with_text(docs: DataFrame, tokenizer: str, tokens: str = "tokens", into: str
 
 def digest(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, n_tokens and digests of each text's ids and of what they decode to, in one pass."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = bpe(tokenizer)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tarmac.llm.text import ODD, mix, shuffle_width, small_batches, text_column
+from tarmac.llm.text import ODD, mix, shuffle_width, prepare, text_column
 
 #: Elements of one table of (function, k-mer) values, and the least number of minima kept.
 CELLS, WIDTH = 1 << 18, 48
@@ -137,7 +137,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 def with_fingerprint(docs: DataFrame, text: str = "text", into: str = "fingerprint", sketch: Sketch = Sketch()) -> DataFrame:
     """The rows with their fingerprint, in hexadecimal; a column of that name is replaced."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.drop(into)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +163,7 @@ def compare_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     rows of one id are ordered by text. A single document follows itself. No rows give no rows.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     parts = 2 * shuffle_width(spark)
     share = ", ".join(str(i / parts) for i in range(1, parts))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tarmac.llm.text import shuffle_width, small_batches, text_column
+from tarmac.llm.text import shuffle_width, prepare, text_column
 from tarmac.session import scratch_dir, settle
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -87,7 +87,8 @@ class Runs:
         every = runs[0]
         for run in runs[1:]:
             every = every.unionByName(run)
-        return every.groupBy("line_key").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
+        # Dealt out anew on purpose: the runs' buckets are no partitioning of their union.
+        return every.repartition("line_key").groupBy("line_key").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
 
     def _write(self, keys: DataFrame, level: int) -> None:
         table, self.made = f"{self.name}_{self.made}", self.made + 1
@@ -102,7 +103,7 @@ class Runs:
 
 def document_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS) -> DataFrame:
     """(doc_id, line_key) of each row's distinct long enough lines."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

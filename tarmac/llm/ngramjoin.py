@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.components import connected_components
-from tarmac.llm.text import ODD, blocks, mix, shuffle_width, small_batches, text_column, words
+from tarmac.llm.text import ODD, blocks, mix, shuffle_width, prepare, text_column, words
 from tarmac.session import settle
 
 #: Members of a block, and shingles of a block, at which a component is split.
@@ -198,7 +198,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     with the same shingles, itself included; they are links of each other. ``chosen`` marks one
     (doc_id, tie) of each class, the smallest id.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     sketches = settle(_sketches(rows, settings), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "tie"))

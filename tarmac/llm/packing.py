@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.text import blocks, shuffle_width, small_batches, text_column
+from tarmac.llm.text import blocks, shuffle_width, prepare, text_column
 from tarmac.llm.wordpieces import word_encoder
 from tarmac.session import settle
 
@@ -201,7 +201,7 @@ def plan(histogram: np.ndarray, capacity: int = CAPACITY, shape: Patterns = Patt
 def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, shape: Patterns = Patterns()) -> DataFrame:
     """Every piece with its sequence and its offset there: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
-    small_batches(spark)
+    prepare(spark)
     salts = shuffle_width(spark)
     cut = settle(pieces(docs, tokenizer, capacity), "pieces").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
     counted = cut.groupBy("length", "salt").count()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.text import ODD, blocks, mix, small_batches, text_column, words
+from tarmac.llm.text import ODD, blocks, mix, prepare, text_column, words
 from tarmac.session import settle
 
 
@@ -204,7 +204,7 @@ def kth_largest(frame: DataFrame, column: str, k: int, bins: int = 4096) -> floa
 
 def _sampled(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[np.ndarray, DataFrame, float]:
     """The fitted table, all scored rows, and the key from which a row is in the sample."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     bounded = F.broadcast(_labels(labels, settings))
     joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(bounded, "doc_id", "left")
     ratios = fit(joined, labels, settings)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from tarmac.llm.automaton import Automaton, compile_rules
-from tarmac.llm.text import blocks, small_batches, text_column
+from tarmac.llm.text import blocks, prepare, text_column
 
 LANE, WARM_UP = 256, 32
 SEEN = 12
@@ -174,7 +174,7 @@ def scanner(rules: tuple[Rule, ...] = RULES) -> Scanner:
 
 def find_secrets(docs: DataFrame, text: str = "text", into: str = "secrets", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows with an array of (kind, start, end) spans; an existing column of that name is replaced."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.drop(into)
     schema = StructType([*docs.schema.fields, StructField(into, SPAN)])
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
@@ -208,7 +208,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataF
 
     Overlapping spans (a kind inside another) become one mark. Text without spans is not changed.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

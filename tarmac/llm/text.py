@@ -29,9 +29,15 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Hand Python a few MB at a time: long texts make batches of thousands of rows too large for a worker."""
+def prepare(spark: SparkSession) -> None:
+    """Settings that the operators need.
+
+    Python gets a few hundred rows at a time: long texts make batches of thousands too large for a
+    worker. And a union never counts as partitioned like its parts: over bucketed tables that
+    gave partial groups as final ones (seen with Spark 4.1).
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.text import blocks, small_batches, spans, text_column
+from tarmac.llm.text import blocks, prepare, spans, text_column
 from tarmac.llm.wordpieces import word_encoder
 from tarmac.session import scratch_dir, settle
 
@@ -81,7 +81,7 @@ def change(rows: DataFrame, tokenizer: str, sign: int, n_tokens: Column) -> Data
 
 def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, source, lang, text_hash, n_words and n_pieces: each text by white space and by the tokenizer."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
