@@ -207,7 +207,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     banded = sketches.where("node IS NOT NULL").select("node", F.explode("bands").alias("band")).distinct()
     banded = settle(banded, "bands")
     hubs = banded.groupBy("band").agg(F.min("node").alias("other"), F.count("*").alias("n")).where("n > 1")
-    candidates = connected_components(banded.join(hubs, "band").where("node <> other").select("node", "other").distinct())
+    # A node has at most one hub for each band. It keeps an edge to the smallest; that one stands in for it at the others,
+    # so a group with many bands in common has few edges besides one for each node.
+    own = banded.join(hubs, "band").groupBy("node").agg(F.collect_set("other").alias("hubs")).withColumn("least", F.array_min("hubs"))
+    edges = own.select("node", F.col("least").alias("other")).unionByName(
+        own.select(F.col("least").alias("node"), F.explode("hubs").alias("other"))).where("node <> other").distinct()
+    candidates = connected_components(edges)
     sized = candidates.join(nodes, "node").groupBy("component").agg(F.count("*").alias("n"), F.sum("n_grams").alias("grams"))
     parted = sized.select("component", F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("long").alias("n_blocks"))
     members = candidates.join(parted, "component").join(nodes, "node").select(
