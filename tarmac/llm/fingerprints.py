@@ -179,13 +179,10 @@ def compare_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         F.max(F.col("doc_id").isNull()).alias("missing"), F.min("doc_id").alias("low")).collect())
     if not firsts:
         return spark.createDataFrame([], _SCHEMA)
-    halo = None
-    for i, (_, missing, low) in enumerate(firsts):
-        before = firsts[i - 1][0]
-        own = F.when(F.col("doc_id").isNull() if missing else F.col("doc_id") == low, F.lit(before))
-        halo = own if halo is None else F.coalesce(halo, own)
+    # The first id of each range goes to the range before it, too: a row for each range.
+    handed = spark.createDataFrame([(None if missing else low, firsts[i - 1][0]) for i, (_, missing, low) in enumerate(firsts)], "first bigint, spot int")
     copies = (
-        rows.withColumn("spot", halo).where("spot IS NOT NULL")
+        rows.join(F.broadcast(handed), F.col("doc_id").eqNullSafe(F.col("first")))
         .groupBy("spot").agg(F.min("text").alias("text")).select(F.lit(None).cast("long").alias("doc_id"), "text", "spot", F.lit(True).alias("after"))
     )
     dealt = (
