@@ -84,8 +84,12 @@ def _secs(c: str | Column) -> Column:
 
 
 def _framed(points: DataFrame, t: Thresholds, lookback_s: int, lookahead_s: int = 0):
-    """Halo copies plus the previous point of the same segment and airport."""
-    back = max(lookback_s, t.segment_gap_s)
+    """Halo copies plus the previous point of the same segment and airport.
+
+    ``lookback_s`` is how far a rule reads back. The halo reaches one segment gap further,
+    because each point that a rule reads must itself see the point before it.
+    """
+    back = lookback_s + t.segment_gap_s
     df = with_halo(
         points, "ts", width_s=max(t.bucket_s, back), lookback_s=back, lookahead_s=lookahead_s
     )
@@ -113,7 +117,7 @@ def _with_approach(df: DataFrame, t: Thresholds) -> DataFrame:
 
 def approach_points(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     """Points close, low, descending and closing in on their airport."""
-    df, _ = _framed(points, t, t.segment_gap_s)
+    df, _ = _framed(points, t, 0)
     return owned(_with_approach(df, t)).filter("on_approach").drop("__prev", "__sec", "on_approach")
 
 
@@ -169,7 +173,7 @@ def hold_points(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     ``holding`` is null where the samples are too sparse to decide: a turn of 3 deg/s
     cannot be followed across a gap of 90 s.
     """
-    df, w = _framed(points.filter(F.col("dist_nm") <= t.hold_nm), t, t.hold_window_s + t.max_sample_gap_s)
+    df, w = _framed(points.filter(F.col("dist_nm") <= t.hold_nm), t, t.hold_window_s)
     prev = F.col("__prev")
     df = df.withColumns(
         {
@@ -231,7 +235,7 @@ def racetracks(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
     minimum number of half-circle turns inside the racetrack window.
     """
     near = points.filter(F.col("dist_nm") <= t.hold_nm)
-    df, _ = _framed(near, t, t.segment_gap_s)
+    df, _ = _framed(near, t, 0)
     gap = F.col("__sec") - _secs(F.col("__prev")["ts"])
     delta = geo.heading_delta(F.col("__prev")["true_track_deg"], F.col("true_track_deg"))
     # +1 right turn, -1 left turn, 0 straight or unknown.
@@ -303,7 +307,7 @@ def arrivals(points: DataFrame, t: Thresholds = DEFAULT) -> DataFrame:
 
     ``seen`` tells the two apart, because low-altitude coverage is known to have holes.
     """
-    df, w = _framed(points, t, t.segment_gap_s, lookahead_s=t.segment_gap_s)
+    df, w = _framed(points, t, 0, lookahead_s=t.segment_gap_s)
     return (
         owned(_with_arrival(_with_approach(df, t), w, t)).filter(F.col("seen").isNotNull())
         .select("airport", "icao24", "ts", "seen")

@@ -136,8 +136,9 @@ def stream_events(points: DataFrame, t: Thresholds = DEFAULT, delay: str = "15 m
 
     Holding points of one pattern are merged downstream, as in batch.
     """
-    width = max(t.bucket_s, t.segment_gap_s)
-    back = max(t.go_around_horizon_s, t.segment_gap_s, t.hold_window_s + t.max_sample_gap_s)
+    width = max(t.bucket_s, t.go_around_horizon_s + t.segment_gap_s)
+    # As in batch: every point that a rule reads must see the point before it.
+    back = max(t.go_around_horizon_s, t.hold_window_s) + t.segment_gap_s
     late = points.withWatermark("ts", delay)
     halo = with_halo(late, "ts", width_s=width, lookback_s=back)
     rows = halo.select(

@@ -160,3 +160,35 @@ def test_streamed_rules_agree_with_batch(spark, points):
     batch = [("go-around", r["icao24"], r["ts"]) for r in tracks.go_arounds(points, t).collect()]
     batch += [("hold", r["icao24"], r["ts"]) for r in tracks.hold_points(points, t).filter("holding").collect()]
     assert sorted(fired) == sorted(batch)
+
+
+def test_go_around_is_found_wherever_the_bucket_ends(spark, airports):
+    """A slow one: the low point lies almost the whole horizon before the climb is sustained."""
+    from dataclasses import replace
+
+    from tarmac.config import DEFAULT
+
+    base = 1_770_000_000
+    rows = [("slow", base, 6.0, 2000.0, -5.0), ("slow", base + 10, 3.0, 1200.0, -5.0)]
+    rows += [("slow", base + 10 + s, 3.0, 1200.0, 0.0) for s in range(60, 780, 60)]
+    rows += [("slow", base + 800 + 10 * k, 3.0, 1300.0 + 200 * k, 8.0) for k in range(10)]
+    fields = [(icao, s, d, a, v) for icao, s, d, a, v in rows]
+    points = spark.createDataFrame(fields, "icao24 string, s bigint, dist_nm double, alt_ft double, vertical_rate_ms double").selectExpr(
+        "icao24", "timestamp_seconds(s) AS ts", "'KJFK' AS airport", "dist_nm", "alt_ft", "alt_ft AS agl_ft", "vertical_rate_ms",
+        "180.0D AS true_track_deg", "70.0D AS velocity_ms", "false AS on_ground")
+    found = set()
+    # Widths that put the end of a bucket on many places of the track.
+    for width in (1800, 1807, 1901, 1999, 2111, 2503, 7200, 10_000_000):
+        t = replace(DEFAULT, bucket_s=width)
+        for rows_of in (tracks.go_arounds(points, t), tracks.point_events(points, t).where("went_around")):
+            found.add(tuple((r["icao24"], r["ts"]) for r in rows_of.select("icao24", "ts").collect()))
+    assert len(found) == 1 and len(next(iter(found))) == 1
+
+
+def test_a_box_corner_has_a_nearest_airport(spark, airports):
+    from tarmac.operators.joins import assign_boxes, nearest_airport
+
+    corner = airports.where("icao = 'KORD'").selectExpr("lat - 4.1 AS latitude", "lon - 5.5 AS longitude")
+    assert assign_boxes(corner, airports, 250.0).count() == 1
+    row = nearest_airport(corner, airports).first()
+    assert row["nearest_icao"] == "KORD" and row["nearest_nm"] > 250
