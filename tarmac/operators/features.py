@@ -15,7 +15,6 @@ from tarmac.functions.timing import window_key
 from tarmac.operators.joins import (
     active_programs, asof_join, forecast_outlook, with_aircraft, with_outlook,
 )
-from tarmac.session import broadcast_if_small
 
 KEY = ("airport", "window_start")
 
@@ -76,9 +75,7 @@ def with_weather(
     max_age_s: int = 5400,
 ) -> DataFrame:
     """Latest METAR at or before the window start, with crosswind and precipitation."""
-    station = broadcast_if_small(
-        airports.select(F.col("icao").alias("airport"), F.col("metar_station").alias("station"))
-    )
+    station = airports.select(F.col("icao").alias("airport"), F.col("metar_station").alias("station"))
     cols = [
         "wind_dir_deg", "wind_speed_kt", "wind_gust_kt", "visibility_sm", "ceiling_ft",
         "flight_category", "wx_string",
@@ -93,7 +90,7 @@ def with_weather(
         strips = runways.groupBy(F.col("icao").alias("airport")).agg(
             F.sort_array(F.collect_set("heading_deg")).alias("headings")
         )
-        joined = joined.join(broadcast_if_small(strips), "airport", "left")
+        joined = joined.join(strips, "airport", "left")
         headings = F.col("headings")
     return (
         joined.withColumn(

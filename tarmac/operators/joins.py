@@ -11,18 +11,26 @@ from pyspark.sql import functions as F
 from tarmac.functions import geo
 from tarmac.operators.ordered import BUCKET, HOME, bucket_window, running_last, so_far, with_halo
 from tarmac.operators.ordered import time_bucket
-from tarmac.session import broadcast_if_small
 
 CELL_DEG = 1.0
-# Airports that may stand behind a broadcast cell index; each fills at most a few
-# hundred cells.
-MAX_AIRPORTS = 2500
+# The largest box an airport may have, and the latitude up to which airports lie.
+LARGEST_BOX_NM, LAST_AIRPORT_LAT = 250.0, 83.0
+
+
+def box_reach_nm(radius_nm: float = LARGEST_BOX_NM, lat: float = LAST_AIRPORT_LAT) -> float:
+    """An upper bound of the distance from an airport to a corner of its box, up to a latitude.
+
+    A box is as wide in degrees at its equator-ward edge as at its centre, where a degree is shorter.
+    """
+    high = radius_nm / geo.NM_PER_DEGREE
+    half = radius_nm / (geo.NM_PER_DEGREE * max(math.cos(math.radians(lat)), geo.MIN_COS_LAT))
+    return geo.NM_PER_DEGREE * math.hypot(high, half * math.cos(math.radians(lat - high)))
 
 
 def tracked_events(events: DataFrame, airports: DataFrame, code: str = "airport") -> DataFrame:
     """Keep the nationwide events whose airport code is one of ours."""
     codes = airports.select(F.col("faa_code").alias(code)).distinct()
-    return events.join(broadcast_if_small(codes), code, "left_semi")
+    return events.join(codes, code, "left_semi")
 
 
 def resolve_airports(active: DataFrame, reference: DataFrame) -> DataFrame:
@@ -30,11 +38,11 @@ def resolve_airports(active: DataFrame, reference: DataFrame) -> DataFrame:
 
     ``active`` has (ordinal, icao). A code without a reference row is an error.
     """
-    unknown = active.join(broadcast_if_small(reference.select("icao")), "icao", "left_anti")
+    unknown = active.join(reference.select("icao"), "icao", "left_anti")
     missing = [r["icao"] for r in unknown.select("icao").distinct().orderBy("icao").limit(20).collect()]
     if missing:
         raise ValueError(f"unknown airport(s): {', '.join(missing)}")
-    return active.join(broadcast_if_small(reference), "icao", "inner").orderBy("ordinal")
+    return active.join(reference, "icao", "inner").orderBy("ordinal")
 
 
 def with_airport_keys(df: DataFrame, airports: DataFrame, key: str, on: str) -> DataFrame:
@@ -42,7 +50,7 @@ def with_airport_keys(df: DataFrame, airports: DataFrame, key: str, on: str) ->
     keys = ("icao", "metar_station", "faa_code")
     dim = airports.select(F.col(on).alias("__on"), *keys).dropDuplicates(["__on"])
     return (
-        df.join(broadcast_if_small(dim), F.col(key) == F.col("__on"), "left").drop("__on")
+        df.join(dim, F.col(key) == F.col("__on"), "left").drop("__on")
     )
 
 
@@ -55,8 +63,8 @@ def _cells_of_boxes(boxes: DataFrame, payload: Sequence[str]) -> DataFrame:
 
     Expects lamin, lamax, lomin, lomax. Longitude cells wrap at the antimeridian, so
     a rectangle may reach beyond 180 degrees. The array of a cell is bounded by how
-    many airports lie around one square degree. Broadcast only when the airports have
-    been counted and found few, which bounds the cells.
+    many airports lie around one square degree. Whether the cells are broadcast is left
+    to Spark's own estimate of their size.
     """
     wrap = int(360 / CELL_DEG)
     edges = boxes.withColumns(
@@ -72,8 +80,7 @@ def _cells_of_boxes(boxes: DataFrame, payload: Sequence[str]) -> DataFrame:
         .groupBy("__la", "__lo")
         .agg(F.sort_array(F.collect_set(F.struct(*payload))).alias("__near"))
     )
-    few = len(boxes.select("icao").limit(MAX_AIRPORTS + 1).collect()) <= MAX_AIRPORTS
-    return F.broadcast(cells) if few else cells
+    return cells
 
 
 def _with_cell(obs: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -106,17 +113,21 @@ def assign_boxes(
 
 
 def nearest_airport(
-    obs: DataFrame, airports: DataFrame, max_nm: float = 250.0,
+    obs: DataFrame, airports: DataFrame, max_nm: float | None = None,
     lat: str = "latitude", lon: str = "longitude",
     name: str = "nearest_icao", dist: str = "nearest_nm",
     extra: Sequence[str] = (),
 ) -> DataFrame:
     """Nearest airport within ``max_nm`` of each row; nulls beyond. Ties by icao.
 
+    Without a limit the reach is the farthest corner of the largest legal box, so every row
+    that a box holds finds an airport.
+
     Each airport is filed under the grid cells its circle can touch. A row meets only
     the airports of its own cell, keeps its single row and is not shuffled.
     ``extra`` names further airport columns to attach.
     """
+    max_nm = box_reach_nm() if max_nm is None else max_nm
     reach = math.degrees(max_nm / geo.EARTH_RADIUS_NM)
     half = geo.lon_reach_deg(F.col("lat"), max_nm)
     boxes = airports.select(
@@ -166,7 +177,7 @@ def unique_aircraft(aircraft: DataFrame, key: str = "icao24") -> DataFrame:
 
 def with_aircraft(obs: DataFrame, aircraft: DataFrame, key: str = "icao24") -> DataFrame:
     """Left lookup into the register; repeated register keys do not multiply rows."""
-    return obs.join(broadcast_if_small(unique_aircraft(aircraft, key)), key, "left")
+    return obs.join(unique_aircraft(aircraft, key), key, "left")
 
 
 def asof_join(
