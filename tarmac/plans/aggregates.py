@@ -112,7 +112,7 @@ def a07(t: Tables):
 def silver_states(t: Tables):
     """Valid observations, one row per content, each at its nearest airport."""
     good = quality.accepted(quality.validate_states(t.v_obs))
-    hashed = dedupe.with_hash(good, exclude=("event_id",))
+    hashed = dedupe.with_hash(good, exclude=("event_id", "ts"))
     one = dedupe.dedupe(hashed, seen="ts", airport=None)
     return joins.nearest_airport(one, airports(t), max_nm=60.0)
 
@@ -120,7 +120,7 @@ def silver_states(t: Tables):
 @query("a08_profile_silver", ["v_obs"], f"""
     SELECT CAST(first_seen AS DATE) AS day, count(*) AS n_rows, count(DISTINCT icao24) AS n_aircraft, count(DISTINCT icao) AS n_airports FROM (
       SELECT o.icao24, o.first_seen, n.icao FROM (SELECT icao24, latitude, longitude, min(ts) AS first_seen, min(event_id) AS id FROM v_obs WHERE NOT {STATE_BAD}
-        GROUP BY icao24, callsign, last_contact, latitude, longitude, baro_altitude_m, on_ground, velocity_ms, true_track_deg, vertical_rate_ms, spi, wind_speed_kt, ts) o
+        GROUP BY icao24, callsign, last_contact, latitude, longitude, baro_altitude_m, on_ground, velocity_ms, true_track_deg, vertical_rate_ms, spi, wind_speed_kt) o
       LEFT JOIN (SELECT event_id, arg_min(icao, (nm, icao)) AS icao FROM (SELECT event_id, icao, {HAVERSINE} AS nm FROM v_obs, {AIRPORT_VALUES} WHERE latitude <= 90) d
         WHERE nm <= 60 GROUP BY event_id) n ON n.event_id = o.id) s GROUP BY 1""")
 def a08(t: Tables):

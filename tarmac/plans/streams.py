@@ -96,7 +96,7 @@ def r05(t: Tables):
     schema = rows.schema
 
     def bring(batch: DataFrame, batch_id: int) -> None:
-        flows.merge_late(batch, f"{root}/silver", f"{root}/stage-{batch_id}", "ingested_at", schema)
+        flows.merge_late(batch, f"{root}/silver", "ingested_at", schema)
 
     for part in (1, 2, 2):
         src = flows.stream_landing(t.spark, f"{root}/in/part={part}", schema)

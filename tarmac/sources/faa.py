@@ -9,30 +9,21 @@ from tarmac.functions.identity import payload_hash
 from tarmac.functions.text import event_type, first_text, norm_faa
 from tarmac.functions.timing import program_times
 
-# List wrappers and the record elements inside them. Only closures are confirmed by a
-# recorded document; the rest follow the published names. Fixed values.
-WRAPPERS = {
-    "Ground_Stop_List": ("Program",),
-    "Ground_Delay_List": ("Ground_Delay", "Program"),
-    "Airport_Closure_List": ("Airport",),
-    "Airspace_Flow_List": ("Airspace_Flow", "Program"),
-    "Arrival_Departure_Delay_List": ("Delay",),
-    "Deicing_List": ("Deicing", "Airport"),
-}
 # Accepted spellings per field, first non-blank wins. Fixed values.
 AIRPORT = ("ARPT",)
 START = ("Start", "Start_Time", "Begin_Time")
 END = ("Reopen", "End_Time", "Stop_Time", "End")
 AVERAGE = ("Avg", "Avg_Delay", "Arrival_Departure")
 
-_RECORD = "struct<" + ",".join(
-    f"{n}:string" for n in (*AIRPORT, "Reason", *START, *END, *AVERAGE)
-) + ">"
-_SECTION = "struct<Name:string," + ",".join(
-    f"{w}:struct<" + ",".join(f"{r}:array<{_RECORD}>" for r in records) + ">"
-    for w, records in WRAPPERS.items()
-) + ">"
-DOCUMENT = f"Update_Time string, Delay_type array<{_SECTION}>"
+_FIELDS = ", ".join(f"{n} string" for n in (*AIRPORT, "Reason", *START, *END, *AVERAGE))
+DOCUMENT = "Update_Time string, Delay_type array<struct<Name:string>>"
+# A record is whatever element has an airport child, under any name and in any wrapper: an
+# opening tag, complete children without children of their own, and then the airport.
+_RECORD_TEXT = (
+    r"(?is)<([\w.:-]+)(?:\s[^<>]*)?>\s*"
+    r"(?:<([\w.:-]+)(?:\s[^<>]*)?>[^<]*</\2>\s*|<[\w.:-]+(?:\s[^<>]*)?/>\s*|<!--.*?-->\s*)*"
+    rf"<(?:{'|'.join(AIRPORT)})[\s>].*?</\1\s*>"
+)
 
 IDENTITY = ["airport", "event_type", "reason", "start_text", "end_text", "avg_delay_text", "raw_xml"]
 
@@ -40,13 +31,7 @@ IDENTITY = ["airport", "event_type", "reason", "start_text", "end_text", "avg_de
 def safe_body(body: str | Column) -> Column:
     """The text, or null when it declares a document type (entity expansion)."""
     c = F.col(body) if isinstance(body, str) else body
-    return F.when(~F.contains(c, F.lit("<!DOCTYPE")), c)
-
-
-def _numbered(records: Column, tag: str) -> Column:
-    return F.transform(
-        records, lambda r, i: F.struct(F.lit(tag).alias("tag"), i.alias("i"), r.alias("r"))
-    )
+    return F.when(~F.contains(F.lower(c), F.lit("<!doctype")), c)
 
 
 def _sections(landed: DataFrame, body: str) -> DataFrame:
@@ -62,28 +47,22 @@ def _sections(landed: DataFrame, body: str) -> DataFrame:
 
 
 def parse_faa(landed: DataFrame, body: str = "body") -> DataFrame:
-    """Events of known sections with an airport; the source fragment stays attached."""
+    """Events of known sections with an airport; the source fragment stays attached.
+
+    Each fragment is cut out of its section once and parsed for itself, whatever its tag.
+    """
     sec = F.col("__sec")
-    lists = []
-    for wrapper, records in WRAPPERS.items():
-        for record in records:
-            parsed = F.coalesce(sec["s"][wrapper][record], F.array().cast(f"array<{_RECORD}>"))
-            lists.append(_numbered(parsed, record))
     rows = (
         _sections(landed, body)
         .withColumn("event_type", event_type(sec["s"]["Name"]))
         .filter(F.col("event_type").isNotNull())
-        .withColumn("__tagged", F.concat(*lists))
         .select(
-            "poll_id", "ingested_at", "event_type", F.col("__sec")["t"].alias("__t"),
-            F.explode("__tagged").alias("__e"),
+            "poll_id", "ingested_at", "event_type",
+            F.explode(F.regexp_extract_all(sec["t"], F.lit(_RECORD_TEXT), F.lit(0))).alias("__t"),
         )
+        .withColumn("__r", F.from_xml("__t", _FIELDS))
     )
-    r = F.col("__e")["r"]
-    # The i-th element of a tag in the section text is the i-th parsed record of it.
-    tag = F.col("__e")["tag"]
-    pattern = F.concat(F.lit("(?s)<"), tag, F.lit(r"(?:\s[^>]*)?>.*?</"), tag, F.lit(">"))
-    fragments = F.regexp_extract_all(F.col("__t"), pattern, F.lit(0))
+    r = F.col("__r")
     events = rows.select(
         "poll_id", "ingested_at",
         norm_faa(first_text(*[r[n] for n in AIRPORT])).alias("airport"), "event_type",
@@ -91,7 +70,7 @@ def parse_faa(landed: DataFrame, body: str = "body") -> DataFrame:
         first_text(*[r[n] for n in START]).alias("start_text"),
         first_text(*[r[n] for n in END]).alias("end_text"),
         first_text(*[r[n] for n in AVERAGE]).alias("avg_delay_text"),
-        F.try_element_at(fragments, F.col("__e")["i"] + 1).alias("raw_xml"),
+        F.col("__t").alias("raw_xml"),
     )
     kept = events.filter(F.col("airport").isNotNull())
     return kept.withColumn("payload_hash", payload_hash(IDENTITY))

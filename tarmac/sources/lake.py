@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -156,7 +156,10 @@ def compact(
     """
     if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", day):
         raise ValueError(f"not a day: {day!r}")
-    if day >= (now.date() if now else date.today()).isoformat():
+    # Partitions are UTC days, so "closed" is judged by the UTC clock, wherever the driver runs.
+    moment = now or datetime.now(timezone.utc)
+    today = (moment.astimezone(timezone.utc) if moment.tzinfo else moment).date()
+    if day >= today.isoformat():
         raise ValueError(f"{day} is still being written")
     base = schema or SCHEMAS[source]
     full = StructType([*base.fields, *_PARTS])
@@ -178,6 +181,8 @@ def compact(
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd").partitionBy("date", "hour").parquet(target)
     )
+    fs, done = _fs(spark, stage)
+    fs.delete(done, True)
     after = spark.read.schema(full).parquet(target).filter(F.col("date") == day)
     return {
         "rows": want[0], "files_before": files,

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.schemas import SCHEMAS
-from tarmac.session import broadcast_if_small
 
 FLIGHTS = (
     "icao24 string, first_seen timestamp, departure_airport string, last_seen timestamp, "
@@ -16,10 +14,59 @@ FLIGHTS = (
 )
 
 
+# Headers of the published monthly files, in their two spellings. Fixed values.
+PUBLISHED = {
+    "airport": ("origin",), "day": ("flightdate", "fl_date"), "clock": ("crsdeptime", "crs_dep_time"),
+    "delay": ("depdelay", "dep_delay"), "cancelled": ("cancelled",), "diverted": ("diverted",),
+}
+
+
+def _plain(name: str) -> str:
+    return name.strip().lower()
+
+
+def typed_ontime(raw: DataFrame) -> DataFrame:
+    """airport, scheduled, actual and the reason why a row can't be used (null if it can).
+
+    Columns are found by name, in any order and among any others: either airport, scheduled and
+    actual, or those of the published files, where the actual time is the scheduled clock and
+    date plus the delay, so that it may fall on the next day. A missing one is an error.
+    """
+    have = {_plain(c): F.trim(F.col(f"`{c}`").cast("string")) for c in raw.columns}
+    if {"airport", "scheduled", "actual"} <= set(have):
+        scheduled, actual = (F.try_to_timestamp(have[c]) for c in ("scheduled", "actual"))
+        none = F.lit(False)
+        return _judged(raw, have["airport"], scheduled, actual, none, none)
+    found = {name: next((have[s] for s in spellings if s in have), None) for name, spellings in PUBLISHED.items()}
+    lacking = [n for n in ("airport", "day", "clock", "delay") if found[n] is None]
+    if lacking:
+        raise ValueError(f"the file lacks {', '.join(lacking)}; it has {', '.join(sorted(have))}")
+    clock = found["clock"].try_cast("double").cast("int")
+    sound = clock.between(0, 2400) & (clock % 100 < 60)
+    day = F.coalesce(F.try_to_timestamp(found["day"]), F.try_to_timestamp(found["day"], F.lit("M/d/yyyy h:mm:ss a")))
+    after = lambda c, minutes: F.timestamp_micros(F.unix_micros(c) + (minutes * 60_000_000).cast("bigint"))
+    scheduled = F.when(sound, after(day, F.floor(clock / 100) * 60 + clock % 100))
+    said = lambda name: F.coalesce(found[name].try_cast("double") > 0, F.lit(False)) if found[name] is not None else F.lit(False)
+    return _judged(raw, found["airport"], scheduled, after(scheduled, found["delay"].try_cast("double")), said("cancelled"), said("diverted"))
+
+
+def _judged(raw: DataFrame, airport: Column, scheduled: Column, actual: Column, cancelled: Column, diverted: Column) -> DataFrame:
+    reason = (
+        F.when(cancelled, "cancelled").when(diverted, "diverted").when(F.coalesce(airport, F.lit("")) == "", "airport")
+        .when(scheduled.isNull(), "scheduled").when(actual.isNull(), "actual")
+    )
+    return raw.select(F.upper(airport).alias("airport"), scheduled.alias("scheduled"), actual.alias("actual"), reason.alias("reason"))
+
+
 def read_ontime(spark: SparkSession, paths: str | list[str], airports: DataFrame, local_clock: bool = True) -> DataFrame:
-    """Monthly CSVs with a pinned schema, reduced to tracked airports at the scan."""
-    raw = spark.read.schema(SCHEMAS["ontime"]).csv(paths, header=True)
-    return track_ontime(raw, airports, local_clock)
+    """Monthly CSVs, reduced to tracked airports. Files of one call must have one header; others are an error."""
+    return track_ontime(scan_ontime(spark, paths).where("reason IS NULL"), airports, local_clock)
+
+
+def scan_ontime(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """All rows of the files, typed, with the reasons of those for the quarantine."""
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(paths)
+    return typed_ontime(raw)
 
 
 def track_ontime(raw: DataFrame, airports: DataFrame, local_clock: bool = True) -> DataFrame:
@@ -29,9 +76,9 @@ def track_ontime(raw: DataFrame, airports: DataFrame, local_clock: bool = True)
     dimension. ``raw`` names airports by their three-letter code; the result by icao.
     """
     dim = airports.select(F.col("faa_code").alias("airport"), "icao", "tz")
-    rows = raw.join(broadcast_if_small(dim), "airport", "inner")
+    rows = raw.join(dim, "airport", "inner")
 
-    def utc(c: str):
+    def utc(c: str) -> Column:
         return F.to_utc_timestamp(c, F.col("tz")) if local_clock else F.col(c)
 
     return rows.select(F.col("icao").alias("airport"), utc("scheduled").alias("scheduled"), utc("actual").alias("actual"))

@@ -90,36 +90,27 @@ def run_to_end(query: StreamingQuery) -> None:
 
 
 def merge_late(
-    batch: DataFrame, path: str, stage: str, ts: str, schema: StructType, key: str = "payload_hash", day: str = "date"
+    batch: DataFrame, path: str, ts: str, schema: StructType, key: str = "payload_hash", day: str = "date",
+    tie: str | None = None,
 ) -> None:
-    """Bring a micro-batch into the event-dated table.
+    """Bring a micro-batch into the event-dated table by adding what it does not hold yet.
 
-    Only the days present in the batch are read and rewritten; a row already there is
-    not added again, so replaying a batch changes nothing. The merged days are staged
-    first, because they are read from the table they replace.
+    Rows whose key is there already, on the same day, are left out, so replaying a batch changes
+    nothing; only the partitions of the batch's days are read, and none is rewritten. Of equal
+    keys in the batch the row that is smallest by ``tie`` and its other columns stays. ``compact``
+    folds the small files later.
     """
     spark = batch.sparkSession
+    names = [f.name for f in schema.fields]
     full = StructType([*schema.fields, StructField(day, StringType())])
-    fresh = batch.select(*[f.name for f in schema.fields]).withColumn(day, F.date_format(ts, "yyyy-MM-dd"))
+    fresh = batch.select(*names).withColumn(day, F.date_format(ts, "yyyy-MM-dd"))
+    order = F.struct(*([F.col(tie)] if tie else []), *[F.to_json(F.struct(c)).alias(f"j{i}") for i, c in enumerate(names)])
+    one = fresh.groupBy(key, day).agg(F.min_by(F.struct(*[c for c in fresh.columns if c not in (key, day)]), order).alias("__row"))
+    one = one.select(key, day, "__row.*").select(*names, day)
     if exists(spark, path):
-        days = fresh.select(day).distinct()
-        held = spark.read.schema(full).parquet(path).join(F.broadcast(_few(days)), day, "left_semi")
-        fresh = held.unionByName(fresh)
-    merged = fresh.dropDuplicates([key, day])
-    merged.write.mode("overwrite").option("compression", "zstd").parquet(stage)
-    staged = spark.read.schema(full).parquet(stage)
-    overwrite_days(staged.drop(day), path, ts, day)
-
-
-MAX_DAYS = 100_000
-
-
-def _few(days: DataFrame) -> DataFrame:
-    """Calendar days are few by nature; anything else means the event times are broken."""
-    n = days.limit(MAX_DAYS + 1).count()
-    if n > MAX_DAYS:
-        raise ValueError("a batch touches too many event days")
-    return days
+        held = spark.read.schema(full).parquet(path).select(key, day).join(one.select(day).distinct(), day, "left_semi")
+        one = one.join(held, [key, day], "left_anti").select(*names, day)
+    one.write.mode("append").option("compression", "zstd").partitionBy(day).parquet(path)
 
 
 def backfill(job: Callable[[datetime, datetime], DataFrame], path: str, ts: str, begin: datetime, end: datetime) -> None:

@@ -13,7 +13,7 @@ from tarmac.schemas import SCHEMAS
 from tarmac.sources import aircraft, faa, ontime, states, weather
 
 AT = datetime(2026, 8, 8, 9, 2, 20)
-GOOD = ["3c6444", "DLH9LF  ", "Germany", 1458564120, 1458564120, 6.15, 50.19, 9639.3, False, 232.88, 98.26, 4.55, None, 9547.86, "1000", False, 0]
+GOOD = ["a0b1c2", "TST42   ", "Nowhere", 1700000000, 1700000000, -73.5, 40.25, 3048.0, False, 120.5, 270.0, -3.25, None, 3100.5, "4321", False, 0]
 
 
 def land(spark, *bodies):
@@ -22,7 +22,7 @@ def land(spark, *bodies):
 
 
 def reasons(spark, *vectors):
-    body = json.dumps({"time": 1458564130, "states": list(vectors)})
+    body = json.dumps({"time": 1700000010, "states": list(vectors)})
     judged = quality.validate_states(states.parse_states(land(spark, body)))
     return [sorted(r[quality.REASONS]) for r in judged.collect()]
 
@@ -32,11 +32,11 @@ def changed(i, v):
 
 
 def test_state_vector(spark):
-    body = json.dumps({"time": 1458564130, "states": [GOOD, [*GOOD, 3], changed(12, [1, 2])]})
+    body = json.dumps({"time": 1700000010, "states": [GOOD, [*GOOD, 3], changed(12, [1, 2])]})
     rows = states.parse_states(land(spark, body)).collect()
     r = rows[0]
-    assert (r["icao24"], r["callsign"], r["on_ground"], r["squawk"]) == ("3c6444", "DLH9LF", False, "1000")
-    assert r["last_contact"] == datetime(2016, 3, 21, 12, 42) and r["response_time"] == datetime(2016, 3, 21, 12, 42, 10)
+    assert (r["icao24"], r["callsign"], r["on_ground"], r["squawk"]) == ("a0b1c2", "TST42", False, "4321")
+    assert r["last_contact"] == datetime(2023, 11, 14, 22, 13, 20) and r["response_time"] == datetime(2023, 11, 14, 22, 13, 30)
     assert r["payload_hash"] == rows[1]["payload_hash"] != rows[2]["payload_hash"]
     assert rows[2]["sensors"] == [1, 2]
 
@@ -52,7 +52,7 @@ def test_state_rejects(spark):
 
 
 def test_same_aircraft_from_two_boxes_is_one_fact(spark):
-    body = json.dumps({"time": 1458564130, "states": [GOOD]})
+    body = json.dumps({"time": 1700000010, "states": [GOOD]})
     df = land(spark, body, body).withColumn("airport", F.when(F.col("poll_id") == "p0", "KEWR").otherwise("KJFK"))
     from tarmac.operators.dedupe import dedupe
 
@@ -67,7 +67,7 @@ def test_empty_and_broken_states(spark):
 
 
 def test_bronze_schema_is_pinned(spark):
-    body = json.dumps({"time": 1458564130, "states": [GOOD]})
+    body = json.dumps({"time": 1700000010, "states": [GOOD]})
     bronze = states.to_bronze(states.parse_states(land(spark, body)))
     assert [f.name for f in bronze.schema.fields] == [f.name for f in SCHEMAS["states"].fields]
     with pytest.raises(ValueError, match="velocity_ms"):
@@ -141,9 +141,10 @@ def test_faa_trouble(spark):
     new = notice(("Deicing", "<Frost_List><Frost><ARPT>JFK</ARPT></Frost></Frost_List>"))
     df = land(spark, notice(), "<broken", bomb, new)
     parsed = faa.parse_faa(df)
-    assert parsed.count() == 0
+    # A wrapper never seen before is read like any other.
+    assert [r["airport"] for r in parsed.collect()] == ["JFK"]
     assert sorted(r["poll_id"] for r in faa.unreadable_faa(df).collect()) == ["p1", "p2"]
-    assert [r["poll_id"] for r in faa.unseen_records(df, parsed).collect()] == ["p3"]
+    assert faa.unseen_records(df, parsed).count() == 0
 
 
 def write(tmp_path, text):
@@ -187,3 +188,34 @@ def test_flight_interval(spark):
             ontime.flights_by_airport(df, "KEWR", *bad)
     with pytest.raises(ValueError, match="code"):
         ontime.flights_by_airport(df, "TOOLONG", datetime(2026, 8, 8), datetime(2026, 8, 8))
+
+
+def test_ontime_is_read_by_header(spark, airports, tmp_path):
+    (tmp_path / "a.csv").write_text("actual,extra,airport,scheduled\n2026-07-01 12:20:00,x,ORD,2026-07-01 12:00:00\n")
+    got = ontime.read_ontime(spark, str(tmp_path / "a.csv"), airports, local_clock=False).collect()
+    assert [(r["airport"], r["scheduled"], r["actual"]) for r in got] == [("KORD", datetime(2026, 7, 1, 12), datetime(2026, 7, 1, 12, 20))]
+    (tmp_path / "b.csv").write_text(
+        "FlightDate,Dest,Origin,DepDelay,CRSDepTime,Cancelled,Diverted\n"
+        "2026-07-01,LAX,JFK,45.00,2350,0.00,0.00\n2026-07-01,LAX,JFK,,0700,1.00,0.00\n2026-07-01,LAX,JFK,5,0700,0,1\n"
+        "2026-07-01,LAX,JFK,-5,0005,0,0\n2026-07-01,LAX,JFK,5,2590,0,0\n2026-07-01,LAX,,5,0700,0,0\n2026-07-01,LAX,JFK,,0700,0,0\n"
+    )
+    rows = ontime.scan_ontime(spark, str(tmp_path / "b.csv"))
+    assert sorted(r["reason"] or "" for r in rows.collect()) == ["", "", "actual", "airport", "cancelled", "diverted", "scheduled"]
+    got = ontime.read_ontime(spark, str(tmp_path / "b.csv"), airports, local_clock=False).orderBy("scheduled").collect()
+    assert [(r["scheduled"], r["actual"]) for r in got] == [
+        (datetime(2026, 7, 1, 0, 5), datetime(2026, 7, 1)), (datetime(2026, 7, 1, 23, 50), datetime(2026, 7, 2, 0, 35))]
+    (tmp_path / "c.csv").write_text("Origin,Dest\nJFK,LAX\n")
+    with pytest.raises(ValueError, match="lacks day, clock, delay"):
+        ontime.read_ontime(spark, str(tmp_path / "c.csv"), airports)
+
+
+def test_faa_records_of_any_wrapper(spark):
+    doc = notice(
+        ("Ground Stop Programs", "<Ground_Stop_List><Ground_Stop><ARPT>EWR</ARPT><Reason>a</Reason></Ground_Stop></Ground_Stop_List>"),
+        ("Airport Closures", "<New_List><Wrap><Item><Reason>b</Reason><Empty/><ARPT>JFK</ARPT><Arrival_Departure><Min>1</Min></Arrival_Departure><Start>x</Start></Item></Wrap></New_List>"),
+    )
+    got = faa.parse_faa(land(spark, doc)).orderBy("airport").collect()
+    assert [(r["airport"], r["reason"], r["start_text"]) for r in got] == [("EWR", "a", None), ("JFK", "b", "x")]
+    assert got[0]["raw_xml"].startswith("<Ground_Stop>") and got[1]["raw_xml"].endswith("</Item>")
+    assert faa.unseen_records(land(spark, doc), faa.parse_faa(land(spark, doc))).count() == 0
+    assert faa.parse_faa(land(spark, "<!doctype x>" + doc)).count() == 0
