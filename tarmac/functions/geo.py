@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The box rule of the ingestion side.
 NM_PER_DEGREE = 60.0
 MIN_COS_LAT = 0.01
+
 EARTH_RADIUS_NM = 3440.065
 FT_PER_M = 3.280839895013123
 KT_PER_MS = 1.9438444924406046
@@ -23,7 +25,7 @@ def ms_to_kt(c: Column) -> Column:
 def bounding_box(lat: Column, lon: Column, radius_nm: float) -> Column:
     """Clamped rectangle around a point as a struct; no wrap at the antimeridian."""
     if radius_nm <= 0:
-        raise ValueError(f"radius_nm must be positive, got {radius_nm}")
+        raise ValueError(f"a box needs a radius above zero; {radius_nm} nm is none")
     dlat = F.lit(radius_nm / NM_PER_DEGREE)
     dlon = F.lit(radius_nm) / (
         F.lit(NM_PER_DEGREE) * F.greatest(F.cos(F.radians(lat)), F.lit(MIN_COS_LAT))

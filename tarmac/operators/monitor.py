@@ -67,9 +67,10 @@ def credit_ledger(
     Every attempt costs one credit until the allowance is spent; a remaining count
     sent by the server (if not negative) replaces the local one.
     """
-    if limit <= 0:
-        raise ValueError(f"limit must be positive, got {limit}")
-    floor = max(1, int(limit * low_water))
+    if limit < 1:
+        raise ValueError(f"an allowance of {limit} credits buys no poll")
+    # Low water in whole credits, and never so low that the last credit goes unnoticed.
+    floor = int(limit * low_water) or 1
     reported = F.col("credits_remaining")
     stated = F.when(
         reported.isNotNull() & (reported >= 0),
