@@ -35,8 +35,14 @@ def poll_health(log: DataFrame, window: str | None = None) -> DataFrame:
     )
 
 
-def freshness(log: DataFrame, now: Column, t: Thresholds = DEFAULT, key: str = "source") -> DataFrame:
-    """Minutes since the last success per source, and what that means."""
+def freshness(
+    log: DataFrame, now: Column, t: Thresholds = DEFAULT, key: str = "source", expected: DataFrame | None = None
+) -> DataFrame:
+    """Minutes since the last success per source, and what that means.
+
+    ``expected`` lists the sources that ought to report (column ``key``); one that never did is
+    stalled like one that never succeeded.
+    """
     last = F.max(F.when(F.col("ok"), F.col("started_at")))
     minutes = (F.unix_micros(now) - F.unix_micros("last_success")) / F.lit(60_000_000)
     state = (
@@ -45,15 +51,22 @@ def freshness(log: DataFrame, now: Column, t: Thresholds = DEFAULT, key: str = "
         .when(F.col("minutes_since_success") > t.degraded_min, "degraded")
         .otherwise("healthy")
     )
+    seen = log.groupBy(key).agg(last.alias("last_success"))
     return (
-        log.groupBy(key).agg(last.alias("last_success"))
+        _with_silent(seen, expected, key)
         .withColumn("minutes_since_success", minutes)
         .withColumn("state", state)
     )
 
 
-def prediction_age(predictions: DataFrame, now: Column) -> DataFrame:
-    return predictions.groupBy("airport").agg(F.max("ts").alias("last_ts")).withColumn(
+def _with_silent(seen: DataFrame, expected: DataFrame | None, key: str) -> DataFrame:
+    """Subjects that have no rows at all beside those that have."""
+    return seen if expected is None else seen.join(expected.select(key).distinct(), key, "full_outer")
+
+
+def prediction_age(predictions: DataFrame, now: Column, expected: DataFrame | None = None) -> DataFrame:
+    """Minutes since the last prediction per airport; null for an expected one that has none."""
+    return _with_silent(predictions.groupBy("airport").agg(F.max("ts").alias("last_ts")), expected, "airport").withColumn(
         "minutes_since_prediction",
         (F.unix_micros(now) - F.unix_micros("last_ts")) / F.lit(60_000_000),
     )
@@ -130,14 +143,15 @@ def poll_gaps(
 def program_intervals(
     sightings: DataFrame, gap_s: float = 900, ts: str = "ingested_at",
     keys: Sequence[str] = ("airport", "event_type"), log: DataFrame | None = None,
-    bucket_s: int = 3600,
+    bucket_s: int = 3600, source: str | None = None,
 ) -> DataFrame:
     """Repeated sightings of a program as intervals.
 
     Keyed by airport and type, not by content: a program that is updated changes its
     text, and an identical stop on the next day is a new one. With the poll log, an
     interval is censored when no poll succeeded in the gap after its last sighting, so
-    its end is not known.
+    its end is not known. ``source`` names the poller of the sightings in the log; without it
+    the log must hold that one alone.
     """
     labelled = islands(
         sightings, list(keys), [ts], gap_breaks(ts, gap_s),
@@ -150,7 +164,8 @@ def program_intervals(
     )
     if log is None:
         return spans
-    polls = log.filter("ok").select(F.lit(0).alias("__one"), F.col("started_at").alias("poll_ts"))
+    own = log.filter("ok") if source is None else log.filter(F.col("ok") & (F.col("source") == source))
+    polls = own.select(F.lit(0).alias("__one"), F.col("started_at").alias("poll_ts"))
     probe = spans.withColumn("__one", F.lit(0)).withColumn(
         "__until", F.col("end_ts") + F.make_interval(secs=F.lit(gap_s))
     )

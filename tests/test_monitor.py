@@ -172,3 +172,22 @@ def test_scrambled_features_raise_drift(spark):
 def test_find_flight_needs_two_characters(spark):
     df = spark.createDataFrame([("SQ 12", T0, "KJFK")], "flight_number string, scheduled timestamp, airport string")
     assert board.find_flight(df, "1").count() == 0 and board.find_flight(df, "1 2").count() == 1
+
+
+def test_subjects_that_never_reported_alert(spark):
+    now = F.current_timestamp()
+    polls = log(spark, [(0, 1, None, True)])
+    expected = spark.createDataFrame([("a-source-that-is-silent",)], "source string")
+    fresh = monitor.freshness(polls, now, expected=expected)
+    states = {r["source"]: r["state"] for r in fresh.collect()}
+    assert states["a-source-that-is-silent"] == "stalled" and len(states) == 2
+    none = monitor.prediction_age(spark.createDataFrame([], "airport string, ts timestamp"), now, spark.createDataFrame([("KJFK",)], "airport string"))
+    firing = quality.alerts(monitor.poll_health(polls), fresh, none).collect()
+    assert {("stale_source", "a-source-that-is-silent"), ("no_predictions", "KJFK")} <= {(r["rule"], r["subject"]) for r in firing}
+
+
+def test_only_the_own_poller_proves_a_program_over(spark):
+    seen = spark.createDataFrame([("JFK", "ground_stop", datetime(2026, 1, 1, 5))], "airport string, event_type string, ingested_at timestamp")
+    polls = spark.createDataFrame([("metar", datetime(2026, 1, 1, 5, 5), True)], "source string, started_at timestamp, ok boolean")
+    got = [monitor.program_intervals(seen, gap_s=900, log=polls, source=s).first()["censored"] for s in ("faa_status", "metar")]
+    assert got == [True, False]
