@@ -64,7 +64,7 @@ class Rollup:
         """Fold all complete batches into one table, named after them. The deltas stay until their owner removes them."""
         names = self.batches()
         if names:
-            self.totals().coalesce(1).write.mode("overwrite").parquet(f"{self.root}/folded/{'+'.join(sorted(names))}")
+            self.totals().repartition(1).write.mode("overwrite").parquet(f"{self.root}/folded/{'+'.join(sorted(names))}")
 
     def _complete(self, kind: str) -> set[str]:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
