@@ -87,7 +87,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     """The log ratio of each bucket (two for each gram) under target and raw model; None if there is no target.
 
     ``docs`` has doc_id, text, good and fitting. One pass over all texts counts both models;
-    what reaches the driver is one row for each bucket.
+    what reaches the driver are the buckets that tell, of a fixed number.
     """
     bits = settings.buckets_log2
 
@@ -110,19 +110,18 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(seen, pa.int64()), "n_raw": pa.array(counts[0][seen]), "n_target": pa.array(counts[1][seen])})
 
     target = F.coalesce(F.col("good") & F.col("fitting"), F.lit(False)).alias("target")
-    total = (
+    total = settle(
         docs.select("text", target).mapInArrow(run, "bucket bigint, n_raw bigint, n_target bigint")
-        .groupBy("bucket").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_target").alias("n_target")).toPandas()
-    )
-    raw_docs, target_docs = (int(total.loc[total.bucket == cells, c].sum()) for c in ("n_raw", "n_target"))
-    if not target_docs:
+        .groupBy("bucket").agg(F.sum("n_raw").alias("n_raw"), F.sum("n_target").alias("n_target")), "grams")
+    size = total.where(F.col("bucket") == cells).first()
+    if size is None or not size["n_target"]:
         return None
-    total = total[total.bucket < cells]
-    found, expected = total.n_target.to_numpy(float), total.n_raw.to_numpy(float) * (target_docs / raw_docs)
-    ratio = np.log((found + settings.pseudo) / (expected + settings.pseudo))
-    clear = (np.abs(found - expected) >= settings.least_z * np.sqrt(expected + 1)) & (np.abs(ratio) >= np.log(settings.least_ratio))
+    expected = F.col("n_raw") * F.lit(size["n_target"] / size["n_raw"])
+    ratio = F.ln((F.col("n_target") + settings.pseudo) / (expected + settings.pseudo))
+    clear = (F.abs(F.col("n_target") - expected) >= settings.least_z * F.sqrt(expected + 1)) & (F.abs(ratio) >= float(np.log(settings.least_ratio)))
+    found = total.where((F.col("bucket") < cells) & clear).select("bucket", ratio.alias("ratio")).toArrow()
     out = np.zeros(cells)
-    out[total.bucket.to_numpy()[clear]] = ratio[clear]
+    out[found["bucket"].to_numpy()] = found["ratio"].to_numpy()
     return out
 
 
