@@ -152,7 +152,8 @@ def m03(t: Tables):
 
 
 @query("m04_leakage_check", ["v_scored"], """
-    SELECT FALSE AS shuffled_passes, TRUE AS real_passes, CAST(0 AS BIGINT) AS late_rows""")
+    SELECT FALSE AS shuffled_passes, TRUE AS real_passes, CAST(0 AS BIGINT) AS late_rows, 'leak' AS leaked FROM v_scored
+    WHERE model_version = 'v1' HAVING abs(corr(p_delay, target)) < 0.95""")
 def m04(t: Tables):
     rows = training_rows(t)
     real = _evaluated(rows, "logistic").withColumn("model_version", F.lit("real"))
@@ -169,8 +170,11 @@ def m04(t: Tables):
     late = learning.late_features(gold(t), ["obs_time"]).agg(F.count("*").alias("late_rows")).select(
         F.lit(None).cast("boolean").alias("shuffled_passes"), F.lit(None).cast("boolean").alias("real_passes"), "late_rows"
     )
-    return verdict.unionByName(chance).unionByName(late).agg(
-        F.max("shuffled_passes").alias("shuffled_passes"), F.max("real_passes").alias("real_passes"), F.max("late_rows").alias("late_rows")
+    # A planted copy of the label must be found, and nothing else.
+    planted = rows.withColumn("leak", F.col("target").cast("double"))
+    found = learning.leaked_features(planted, [*FEATURES, "leak"]).agg(F.array_join(F.sort_array(F.collect_set("feature")), ",").alias("leaked"))
+    return verdict.unionByName(chance).unionByName(late).unionByName(found, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("shuffled_passes", "real_passes", "late_rows", "leaked")]
     )
 
 
