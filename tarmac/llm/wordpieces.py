@@ -19,8 +19,8 @@ from tarmac.llm.bpe import UNSURE
 
 # Fixed value: how the tokenizer parts a normalised text.
 RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Words (and runs) remembered by one process, and runs encoded in one call.
-MOST_WORDS, TOGETHER = 400_000, 512
+#: Words, and runs, in each of two generations that a process remembers; runs encoded in one call.
+MOST_WORDS, MOST_RUNS, TOGETHER = 330_000, 200_000, 512
 
 
 class WordEncoder:
@@ -36,18 +36,23 @@ class WordEncoder:
         self.ends[[i for token, i in ids.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
         self.runs: dict[str, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.older_runs: dict[str, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text."""
         parted = [t.split() for t in texts]
         new = set().union(*parted).difference(self.known) if parted else set()
         if len(self.known) + len(new) > MOST_WORDS:
-            self.known.clear()
+            # Words still in use come back from the generation before; the rest are forgotten with the next one.
+            self.known, self.older = {}, self.known
             new = set().union(*parted)
-        if len(self.runs) > MOST_WORDS:
-            self.runs.clear()
+        if len(self.runs) > MOST_RUNS:
+            self.runs, self.older_runs = {}, self.runs
         if new:
-            self._learn(new)
+            back = new & self.older.keys()
+            self.known.update(zip(back, map(self.older.__getitem__, back), strict=True))
+            self._learn(new - back)
         look = self.known.__getitem__
         return [b"".join(map(look, words)) for words in parted]
 
@@ -65,7 +70,10 @@ class WordEncoder:
                 continue
             # The library lowers each letter for itself, also a sigma at the end of a word.
             runs_of[w] = RUNS.findall(text.replace("Σ", "σ").lower())
-        wanted = list(set().union(*runs_of.values()).difference(self.runs))
+        lacking = set().union(*runs_of.values()).difference(self.runs)
+        back = lacking & self.older_runs.keys()
+        self.runs.update(zip(back, map(self.older_runs.__getitem__, back), strict=True))
+        wanted = list(lacking - back)
         groups = [wanted[i : i + TOGETHER] for i in range(0, len(wanted), TOGETHER)]
         for group, found in zip(groups, self.own.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(found.ids, dtype="<u4")
