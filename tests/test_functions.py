@@ -83,7 +83,7 @@ def test_bounding_box(spark):
     assert b["lamax"] == 90.0 and -180 <= b["lomin"] and b["lomax"] == pytest.approx(97.28, abs=0.01)
     b = box(78.246, 120.0, 1000)
     assert b["lomax"] == 180.0
-    with pytest.raises(ValueError, match="positive"):
+    with pytest.raises(ValueError, match="radius above zero"):
         geo.bounding_box(F.lit(1.0), F.lit(1.0), 0)
 
 
