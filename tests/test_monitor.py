@@ -33,7 +33,7 @@ def test_credits(spark):
     assert used(spark, [(0, 10, None), (1, 1, -1)], 100) == [10, 11]  # a negative count is ignored
     assert used(spark, [(0, 2, None), (1, 5, None), (2, 1, None)], 3) == [2, 3, 3]  # refused attempts are free
     assert used(spark, [(0, 10, None), (60 * 12, 1, None)], 10) == [10, 1]  # midnight
-    with pytest.raises(ValueError, match="positive"):
+    with pytest.raises(ValueError, match="buys no poll"):
         monitor.credit_ledger(log(spark, [(0, 1, None)]), 0)
 
 
