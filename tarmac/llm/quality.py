@@ -8,7 +8,11 @@ added to each log weight, and the k largest keys are taken.
 An n-gram counts once for each document. Where the two models do not clearly differ (by
 ``least_z`` standard errors and a factor of ``least_ratio``), both take the raw frequency, so
 that the many rare n-grams of a long text do not drown the few that tell. Raw counts cover all
-documents; the target is fitted on at most ``labelled`` labelled documents, the first by hash
+documents and are hashed to buckets, where rare n-grams are lost among chance neighbours. The labelled
+sample is small enough for exact counts: an n-gram that its bad texts hold clearly more often than
+their share of it (by the same bounds, and ``least_bad`` of them) takes its log ratio under the good
+and all texts of the sample, if that is the lower one.
+The raw model covers all documents; the target is fitted on at most ``labelled`` labelled documents, the first by hash
 of their id, of which every fourth one is held back to place the threshold. k is the number of
 documents above the threshold, so the share that is kept follows the data.
 
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +43,7 @@ class Settings:
     labelled: int = 20_000
     least_z: float = 3.3
     least_ratio: float = 2.0
+    least_bad: int = 3
     pseudo: float = 0.5
     good_loss: float = 0.005
     sharpness: float = 8.0
@@ -83,6 +89,72 @@ def _labels(labels: DataFrame, settings: Settings) -> DataFrame:
         "doc_id", (F.col("bad") == 0).alias("good"), (F.pmod(F.xxhash64("doc_id", F.lit(settings.seed + 1)), F.lit(4)) != 0).alias("fitting"))
 
 
+class Evidence(NamedTuple):
+    """What a gram tells: a log ratio for each bucket, and one for each of some exact grams (sorted)."""
+
+    table: np.ndarray
+    grams: np.ndarray
+    ratios: np.ndarray
+
+    def of(self, grams: np.ndarray, bits: int) -> np.ndarray:
+        a, b = (self.table[cell] for cell in _cells(grams, bits))
+        # A bucket's ratio counts only if both buckets have one, and no more than the weaker one: chance neighbours in a bucket don't count.
+        ratio = np.where(a * b > 0, np.where(np.abs(a) < np.abs(b), a, b), 0.0)
+        if not len(self.grams):
+            return ratio
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        return np.where(self.grams[at] == grams, np.minimum(ratio, self.ratios[at]), ratio)
+
+
+def fit_bad(docs: DataFrame, settings: Settings = Settings()) -> tuple[np.ndarray, np.ndarray]:
+    """Exact grams that tell of bad texts, sorted, and their log ratios, from the labelled texts for fitting.
+
+    Only these texts are counted, so what reaches the driver is bounded as the labels are.
+    """
+    bits, none = settings.buckets_log2, (np.zeros(0, np.int64), np.zeros(0))
+    sample = docs.where("fitting")
+    size = {r["good"]: r["count"] for r in sample.groupBy("good").count().collect()}
+    if len(size) < 2:
+        return none
+    share = size[False] / (size[False] + size[True])
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = text_column(batch, "text")
+            for lo, hi in blocks(column):
+                grams, n = np.unique(_grams(column.slice(lo, hi - lo), bits)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n)], names=["gram", "n"])
+
+    # A gram of bad texts alone is clear from this count on; no gram is clear with less.
+    least = max(settings.least_bad, settings.least_z**2 * share / (1 - share))
+    total = F.sum("n").alias("n")
+    bad = sample.where("NOT good").select("text").mapInArrow(every, "gram bigint, n bigint").groupBy("gram").agg(total).where(F.col("n") >= F.lit(float(least))).toArrow()
+    if not len(bad):
+        return none
+    order = np.argsort(bad["gram"].to_numpy())
+    known, n_bad = bad["gram"].to_numpy()[order], bad["n"].to_numpy()[order]
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(shared.value), dtype=np.int64)
+        for batch in batches:
+            column = text_column(batch, "text")
+            for lo, hi in blocks(column):
+                grams = _grams(column.slice(lo, hi - lo), bits)[1]
+                at = np.minimum(np.searchsorted(shared.value, grams), len(counts) - 1)
+                counts += np.bincount(at[shared.value[at] == grams], minlength=len(counts))
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["place", "n"])
+
+    good = sample.where("good").select("text").mapInArrow(chosen, "place bigint, n bigint").groupBy("place").agg(total).toArrow()
+    n_good = np.zeros(len(known))
+    n_good[good["place"].to_numpy()] = good["n"].to_numpy()
+    n = n_good + n_bad
+    ratios = np.log((n_good + settings.pseudo) / (n * (1 - share) + settings.pseudo))
+    clear = (n_bad - n * share >= settings.least_z * np.sqrt(n * share * (1 - share))) & (ratios <= -np.log(settings.least_ratio))
+    return known[clear], ratios[clear]
+
+
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> np.ndarray | None:
     """The log ratio of each bucket (two for each gram) under target and raw model; None if there is no target.
 
@@ -129,24 +201,21 @@ def _noise(settings: Settings):
     return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")), F.lit(settings.seed))
 
 
-def _weigh(batch: pa.RecordBatch, table: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+def _weigh(batch: pa.RecordBatch, evidence: Evidence, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Log weight and sample key of each row; the column ``__noise`` holds 64 random bits."""
     column, weights = text_column(batch, "text"), [np.zeros(0)]
     for lo, hi in blocks(column):
         rows, grams = _grams(column.slice(lo, hi - lo), settings.buckets_log2)
-        a, b = (table[cell] for cell in _cells(grams, settings.buckets_log2))
-        # A gram tells only if both its buckets do, and no more than the weaker one: chance neighbours in a bucket don't count.
-        ratio = np.where(a * b > 0, np.where(np.abs(a) < np.abs(b), a, b), 0.0)
-        weights.append(np.bincount(rows, ratio, minlength=hi - lo))
+        weights.append(np.bincount(rows, evidence.of(grams, settings.buckets_log2), minlength=hi - lo))
     weight = np.concatenate(weights)
     draw = batch.column(batch.schema.get_field_index("__noise")).to_numpy().astype(np.int64).view(np.uint64)
     uniform = ((draw >> np.uint64(11)).astype(float) + 0.5) / 2**53
     return weight, settings.sharpness * weight - np.log(-np.log(uniform))
 
 
-def score(docs: DataFrame, ratios: np.ndarray, settings: Settings = Settings()) -> DataFrame:
+def score(docs: DataFrame, evidence: Evidence, settings: Settings = Settings()) -> DataFrame:
     """Each row's log weight and its key with Gumbel noise: doc_id, log_weight, sample_key, good, fitting."""
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    shared = docs.sparkSession.sparkContext.broadcast(evidence)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,17 +270,18 @@ def kth_largest(frame: DataFrame, column: str, k: int, bins: int = 4096) -> floa
             return low
 
 
-def _sampled(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[np.ndarray, DataFrame, float]:
-    """The fitted table, all scored rows, and the key from which a row is in the sample."""
+def _sampled(docs: DataFrame, labels: DataFrame, settings: Settings) -> tuple[Evidence, DataFrame, float]:
+    """The fitted evidence, all scored rows, and the key from which a row is in the sample."""
     prepare(docs.sparkSession)
     bounded = F.broadcast(_labels(labels, settings))
     joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(bounded, "doc_id", "left")
     ratios = fit(joined, labels, settings)
-    table = np.zeros(2 << settings.buckets_log2) if ratios is None else ratios
-    scored = settle(score(joined, table, settings), "weights")
+    told = (np.zeros(0, np.int64), np.zeros(0)) if ratios is None else fit_bad(joined, settings)
+    evidence = Evidence(np.zeros(2 << settings.buckets_log2) if ratios is None else ratios, *told)
+    scored = settle(score(joined, evidence, settings), "weights")
     least = threshold(scored, settings.good_loss) if ratios is not None else -np.inf
     k = scored.where(F.col("log_weight") >= F.lit(float(least))).count()
-    return table, scored, float(kth_largest(scored, "sample_key", k))
+    return evidence, scored, float(kth_largest(scored, "sample_key", k))
 
 
 def resample(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -225,8 +295,8 @@ def resample(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
 
 def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows that the sample holds, unchanged. They are weighed again rather than joined: no text is shuffled."""
-    table, _, key = _sampled(docs, labels, settings)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    evidence, _, key = _sampled(docs, labels, settings)
+    shared = docs.sparkSession.sparkContext.broadcast(evidence)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -39,6 +39,25 @@ def test_bad_texts_go_and_good_ones_stay(spark):
     assert stays.columns[-2:] == ["log_weight", "kept"] and {r["doc_id"] for r in stays.collect()} == {i for i, k in kept.items() if k}
 
 
+def test_rare_words_of_a_small_language_tell(spark):
+    random.seed(8)
+    data, labels, truth = [], [], {}
+    for i in range(3000):
+        lang = "de" if i % 12 == 0 else "en"
+        text = random.choices([f"{lang}{k}" for k in range(400)], k=random.randint(40, 120))
+        toxic = random.random() < 0.2
+        if toxic:
+            text[5:5] = random.sample([f"{lang}vile{k}" for k in range(8)], k=4)
+        data.append((i, " ".join(text), lang, "s", 1))
+        truth[i] = (lang, toxic, i // 12 % 2 == 0)
+        if truth[i][2]:
+            labels.append((i, 1, int(toxic)))
+    kept = {r["doc_id"]: r["kept"] for r in quality.resample(odd.frame(spark, data), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")).collect()}
+    for lang in ("en", "de"):
+        caught, lost = ([not kept[i] for i, (x, toxic, labelled) in truth.items() if x == lang and toxic == t and not labelled] for t in (True, False))
+        assert sum(caught) / len(caught) > 0.9 and sum(lost) / len(lost) < 0.02, lang
+
+
 def test_odd_rows_and_missing_labels(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     strange = spark.createDataFrame([(None, 1, 0), (9, None, 0), (12, 1, None), (99999, 1, 0)], "doc_id bigint, quality int, toxic int")
