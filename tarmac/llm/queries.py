@@ -30,8 +30,8 @@ def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sample: every document drawn, with its weight and key. The others are those that the classifier rejects."""
-    return quality.resample(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).where("kept")
+    """Every document with its weight, key and whether it is drawn; the others are those that the classifier rejects."""
+    return quality.resample(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 @_register

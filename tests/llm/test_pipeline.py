@@ -54,6 +54,13 @@ def test_stages_keep_their_promises(spark):
     assert {r["doc_id"] for r in five.collect()} == {r[0] for r in rows(four)}
 
 
+@needs_tables
+def test_rejected_documents_can_be_audited(spark):
+    got = queries.QUERIES["op2_importance_resampling"](spark, SF).select("kept", "log_weight").collect()
+    assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count() and {r["kept"] for r in got} == {True, False}
+    assert all(r["log_weight"] is not None for r in got)
+
+
 def test_odd_documents_pass_every_stage(spark, tmp_path):
     odd.clashing(odd.frame(spark), "node", "n_lines").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(3, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
