@@ -47,6 +47,7 @@ class Settings:
     scale: int = 2_000_000
     covered: int = 80  # per cent of a phrase's occurrences inside a longer one that make it redundant
     filter_bits: int = 1 << 28
+    sorted_paths: int = 500_000  # paths that a task sorts at once
     task_nodes: int = 1_500_000  # nodes held by a task before it hands them on
     asked_rows: int = 200_000  # requests that one copy of a range's automaton answers
 
@@ -206,9 +207,9 @@ def _pieces(t: Transducer) -> pa.RecordBatch:
 
 def count_phrases(rows: DataFrame, coder: Coder, known: list[np.ndarray], ranges: int, settings: Settings) -> DataFrame:
     """(range, automaton) of frequent phrases: pairs where ``known`` has the bitmap of words only, longer ones where it has that of pairs too."""
-    shared = rows.sparkSession.sparkContext.broadcast(known)
+    shared, first = rows.sparkSession.sparkContext.broadcast(known), 3 if len(known) == 1 else 4
 
-    def paths(w: Words) -> Transducer:
+    def paths(w: Words) -> tuple[list[np.ndarray], np.ndarray]:
         bits = shared.value
         word = _listed(bits[0], path_code(w.lang, w.codes))
         pair = w.goes_on & word & np.append(word[1:], False)
@@ -225,16 +226,26 @@ def count_phrases(rows: DataFrame, coder: Coder, known: list[np.ndarray], ranges
             lengths = 4 + sum(r[at].astype(np.int64) for r in run[1:])
         steps = [ranges_of(w.lang[at], w.codes[at], w.codes[at + 1], ranges), w.lang[at]]
         last = len(w.codes) - 1
-        steps += [w.codes[np.minimum(at + k, last)] for k in range(int(lengths.max(initial=4)) - 2)]
-        return from_paths(steps, lengths, 3 if len(bits) == 1 else 4)
+        steps += [w.codes[np.minimum(at + k, last)] for k in range(2 if len(bits) == 1 else settings.words)]
+        return steps, lengths
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        built = Builder()
+        built, waiting = Builder(), []
+
+        def sort() -> None:
+            if waiting:
+                steps = [np.concatenate(x) for x in zip(*(s for s, _ in waiting), strict=True)]
+                built.add(from_paths(steps, np.concatenate([n for _, n in waiting]), first))
+                waiting.clear()
+
         for w in _blocks(batches, coder):
             if len(w.codes):
-                built.add(paths(w))
+                waiting.append(paths(w))
+            if sum(len(n) for _, n in waiting) > settings.sorted_paths:
+                sort()
             if len(built) > settings.task_nodes:
                 yield _pieces(built.take())
+        sort()
         yield _pieces(built.take())
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

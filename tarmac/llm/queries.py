@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, collocations, fingerprints, langmodel, linededup, neighbours, ngramjoin, packing, quality, secrets, tokencounts
+from tarmac.llm import bpe, collocations, fingerprints, langmodel, linededup, neighbours, ngramjoin, packing, quality, secrets, tokencounts, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,6 +77,11 @@ def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
 
 
+@_register
+def op11_bit_sliced_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @_register
 def op12_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(_documents(spark, sf_dir))

@@ -19,14 +19,37 @@ import numpy as np
 from tarmac.llm.text import ODD, mix
 
 
-def _folded(up: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (up, label) in order with their summed weights, and the place of each row among them."""
+def _ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and the rank of each value among them; few distinct ones need no sort."""
+    few = np.unique(values[:: 1 + len(values) // 256])
+    if len(few) < 64:
+        rank = np.minimum(np.searchsorted(few, values), len(few) - 1)
+        if np.array_equal(few[rank], values):
+            return few, rank
+    return np.unique(values, return_inverse=True)
+
+
+def _ranked_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for whole numbers from 0 on; those of a small range are marked in a table."""
+    top = int(keys.max()) + 1
+    if top > 4 * len(keys):
+        return np.unique(keys, return_inverse=True)
+    there = np.zeros(top, dtype=bool)
+    there[keys] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[keys]
+
+
+def _folded(up: np.ndarray, label: np.ndarray, weight: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (up, label) in order with their summed weights (without weights: 1 each), and the place of each row among them."""
     if not len(label):
-        return up, label, weight, np.zeros(0, np.int64)
-    labels, rank = np.unique(label, return_inverse=True)
-    keys, back = np.unique(up * len(labels) + rank, return_inverse=True)
-    sums = np.zeros(len(keys), dtype=np.int64)
-    np.add.at(sums, back, weight)
+        return up, label, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    labels, rank = _ranked(label)
+    keys, back = _ranked_keys(up * len(labels) + rank)
+    if weight is None:
+        sums = np.bincount(back, minlength=len(keys))
+    else:
+        sums = np.zeros(len(keys), dtype=np.int64)
+        np.add.at(sums, back, weight)
     return keys // len(labels), labels[keys % len(labels)], sums, back
 
 
@@ -117,10 +140,10 @@ def from_paths(steps: Sequence[np.ndarray], length: np.ndarray, counted: int) ->
     alive = np.arange(len(length))
     for d, column in enumerate(steps):
         alive = alive[length[alive] > d]
-        up, label, weight, back = _folded(node[alive], column[alive], np.full(len(alive), int(d >= counted)))
+        up, label, many, back = _folded(node[alive], column[alive], None)
         out.up.append(up)
         out.label.append(label)
-        out.weight.append(weight)
+        out.weight.append(many if d >= counted else np.zeros(len(many), np.int64))
         node[alive] = back
     return out
 
