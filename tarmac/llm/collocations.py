@@ -435,3 +435,22 @@ def _codes(frame: DataFrame, words: int) -> DataFrame:
 
     own = frame.select("lang", "word") if words == 1 else frame.where("w3 = 0").select("lang", "w1", "w2")
     return own.mapInArrow(run, "code bigint")
+
+
+#: What SQL says of the query, with its production parameters.
+SQL = r"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+      w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM p),
+      g AS (SELECT lang, list_slice(words, i, i + k - 1) AS words FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) ks WHERE len(words) >= k) s),
+      f AS (SELECT lang, words, count(*) AS f FROM g GROUP BY ALL),
+      totals AS (SELECT lang, sum(f) AS n FROM f WHERE len(words) = 1 GROUP BY lang),
+      c AS (SELECT lang, words, f AS a FROM f WHERE len(words) > 1 AND f >= 30),
+      inner_parts AS (SELECT lang, list_slice(words, i, i + k - 1) AS words, max(a) AS longer FROM
+        (SELECT lang, words, a, k, unnest(range(1, len(words) - k + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS k) ks WHERE len(words) > k) s GROUP BY ALL),
+      kept AS (SELECT c.* FROM c LEFT JOIN inner_parts i USING (lang, words) WHERE i.longer IS NULL OR 100 * i.longer < 80 * c.a),
+      cuts AS (SELECT lang, words, a, unnest(range(1, len(words))) AS k FROM kept),
+      scored AS (SELECT u.lang, u.words, u.a, u.k, x.f AS l, y.f AS r, CAST((2000000::HUGEINT * u.a) // (x.f + y.f) AS BIGINT) AS score
+        FROM cuts u JOIN f x ON x.lang = u.lang AND x.words = list_slice(u.words, 1, u.k) JOIN f y ON y.lang = u.lang AND y.words = list_slice(u.words, u.k + 1, len(u.words))),
+      best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+      ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank, array_to_string(words, ' ') AS phrase, a, l, r, score FROM best)
+    SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, CAST(t.n AS BIGINT) AS n, r.score FROM ranked r JOIN totals t USING (lang) WHERE r.rank <= 2000"""

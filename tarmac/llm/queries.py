@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, collocations, fingerprints, langmodel, linededup, neighbours, ngramjoin, packing, quality, secrets, tokencounts, whitening
+from tarmac.llm import bpe, collocations, fingerprints, langmodel, linededup, neighbours, ngramjoin, packing, quality, secrets, streamdedup, tokencounts, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,3 +85,14 @@ def op11_bit_sliced_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op12_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(_documents(spark, sf_dir))
+
+
+SQL["op12_phrase_automata"] = collocations.SQL
+
+
+@_register
+def op13_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streamdedup.deduplicate(spark, f"{sf_dir}/documents.parquet")
+
+
+SQL["op13_stream_dedup"] = streamdedup.SQL
