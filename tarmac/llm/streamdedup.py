@@ -51,6 +51,8 @@ class Settings:
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Every partition of the state is a store of its own, and would set megabytes aside for its logs.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 SIGHTING = "digest binary, doc_id bigint, n bigint, file string, row bigint"
 SEEN = f"{SIGHTING}, known_file string, known_row bigint"
