@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.text import blocks, shuffle_width, prepare, text_column
+from tarmac.llm.text import BLOCK_BYTES, blocks, gathered, prepare, shuffle_width, text_column
 from tarmac.llm.wordpieces import word_encoder
 from tarmac.session import settle
 
@@ -51,26 +51,32 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     """doc_id, piece, start, length, ids_crc32 of every piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end, most = word_encoder(tokenizer), np.array([END_ID], dtype="<u4").tobytes(), 4 * capacity
-        for batch in batches:
+        encoder = word_encoder(tokenizer)
+        for batch in gathered(batches, "text"):
             column = text_column(batch, "text")
-            for lo, hi in blocks(column):
-                out: tuple[list, ...] = ([], [], [], [], [])
-                ids = batch.column(0).slice(lo, hi - lo).to_pylist()
-                for doc_id, own in zip(ids, encoder.encode(column.slice(lo, hi - lo).to_pylist()), strict=True):
-                    own += end
-                    for k, at in enumerate(range(0, len(own), most)):
-                        part = own[at : at + most]
-                        for values, x in zip(out, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                            values.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, _TYPES, strict=True)], names=_NAMES)
+            for lo, hi in blocks(column, 8 * BLOCK_BYTES):
+                ids, at = encoder.encode_column(column.slice(lo, hi - lo))
+                # Each text's ids, then its end.
+                rows = np.arange(hi - lo)
+                whole = np.full(len(ids) + hi - lo, END_ID, dtype="<u4")
+                whole[np.arange(len(ids)) + np.repeat(rows, np.diff(at))] = ids
+                first, size = at[:-1] + rows, np.diff(at) + 1
+                many = -(-size // capacity)
+                row = np.repeat(rows, many)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+                start = piece * capacity
+                length = np.minimum(size[row] - start, capacity)
+                data, begin = memoryview(whole.tobytes()), 4 * (first[row] + start)
+                crc = [zlib.crc32(data[a:b]) for a, b in zip(begin.tolist(), (begin + 4 * length).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(lo, hi - lo).take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()),
+                ], names=_NAMES)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 _NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
-_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def enumerate_patterns(shape: Patterns) -> np.ndarray:

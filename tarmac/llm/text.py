@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -24,6 +25,12 @@ BASE_INVERSE = pow(BASE, -1, 1 << 64)
 BLOCK_BYTES = 1 << 20
 
 
+def repeated(df: DataFrame, times: str, step: int = 1024) -> DataFrame:
+    """Every row as often as its column ``times`` says, by two small sequences and not one as long as the number."""
+    outer = df.withColumn("__from", F.explode(F.sequence(F.lit(0).cast("long"), F.col(times) - 1, F.lit(step).cast("long"))))
+    return outer.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(step), F.col(times) - F.col("__from"))))).drop("__from", "__copy")
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The session's number of shuffle partitions: what work is dealt out over."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -56,6 +63,20 @@ def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return pc.fill_null(col.cast(pa.large_binary()), b"")
 
 
+def gathered(batches: Iterator[pa.RecordBatch], name: str, limit: int = 8 * BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches put together until their texts reach about ``limit`` bytes: what is done once for each distinct word pays off more."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(batch.schema.get_field_index(name)).nbytes
+        if size >= limit:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes; a longer text is a range of its own."""
     sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.text import blocks, prepare, spans, text_column
+from tarmac.llm.text import BLOCK_BYTES, blocks, gathered, prepare, spans, text_column
 from tarmac.llm.wordpieces import word_encoder
 from tarmac.session import scratch_dir, settle
 
@@ -85,14 +85,14 @@ def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
-        for batch in batches:
+        for batch in gathered(batches, "text"):
             column = text_column(batch, "text")
-            for lo, hi in blocks(column):
+            for lo, hi in blocks(column, 8 * BLOCK_BYTES):
                 part, texts = batch.slice(lo, hi - lo), column.slice(lo, hi - lo)
-                pieces = [len(ids) // 4 for ids in encoder.encode(texts.to_pylist())]
+                pieces = np.diff(encoder.encode_column(texts)[1])
                 kept = part.drop_columns(["text"])
                 yield pa.RecordBatch.from_arrays(
-                    [*kept.columns, pa.array(np.diff(spans(texts)[3])), pa.array(pieces, pa.int64())], names=[*kept.schema.names, "n_words", "n_pieces"])
+                    [*kept.columns, pa.array(np.diff(spans(texts)[3])), pa.array(pieces)], names=[*kept.schema.names, "n_words", "n_pieces"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
                        F.md5(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter
 from hashlib import sha256
@@ -13,7 +14,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tarmac.llm import bpe, packing, tokencounts
+from tarmac.llm import bpe, packing, tokencounts, wordpieces
 from tarmac.llm.wordpieces import WordEncoder
 
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -41,6 +42,39 @@ def test_words_are_encoded_as_by_the_library():
         assert np.frombuffer(got, "<u4").tolist() == want.ids, text[:60]
 
 
+def test_long_unbroken_text_is_encoded_in_time_and_not_kept():
+    own, rng = WordEncoder(WORD), np.random.default_rng(5)
+    letters = "".join(rng.choice(list("abcdefghij"), 1 << 20))
+    signs = "".join(chr(c) for c in rng.integers(0x4E00, 0x4E80, 1 << 18))
+    began = time.monotonic()
+    got = own.encode([letters.encode(), signs.encode(), letters.encode()])
+    assert time.monotonic() - began < 60
+    want = library(WORD).encode_batch([letters, signs], add_special_tokens=False)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [want[0].ids, want[1].ids, want[0].ids]
+    assert not len(own.words) and not len(own.runs)
+
+
+def test_words_come_back_from_the_generation_before(monkeypatch):
+    monkeypatch.setattr(wordpieces, "MOST_WORDS", 40)
+    monkeypatch.setattr(wordpieces, "MOST_RUNS", 20)
+    own, other = WordEncoder(WORD), library(WORD)
+    for i in range(60):
+        text = " ".join(f"{'abcdefghij'[j % 10]}q{'klmnopqrst'[j // 10]} été{j}'s 日{j}" for j in range(i, i + 25)) + "x" * 70
+        assert np.frombuffer(own.encode([text.encode()])[0], "<u4").tolist() == other.encode(text, add_special_tokens=False).ids
+        assert len(own.words) <= 40 + 50 and len(own.runs) <= 20 + 50
+
+
+def test_latin_letters_are_read_by_their_bytes():
+    own, other = WordEncoder(WORD), library(WORD)
+    latin = [chr(c) for c in range(0x21, 0x180) if not chr(c).isspace()]
+    texts = [a + b + c for a in latin for b in ("", "a", "É", "1") for c in ("", "ß", ".")] + ["ÀÉÎÕÜ", "×÷", "a×b", "Ã", "naïve CAFÉ.", "x²", "«Où»"]
+    for text, want in zip(texts, other.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(own.encode([text.encode()])[0], "<u4").tolist() == want.ids, text
+    broken = [b"\xc3", b"a\xc3", b"\xc3\xc3\xa9", b"\xa9b", b"\xff\xfe ok"]
+    for text in broken:
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == other.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, text
+
+
 def test_bpe_is_that_of_the_library_and_goes_back():
     own, other, texts = bpe.Bpe(BYTE), library(BYTE), strange()
     for text, got, want in zip(texts, own.encode(texts), other.encode_batch(texts, add_special_tokens=False), strict=True):
