@@ -8,8 +8,9 @@ their last bytes. Words within a class have their smoothed relative frequency.
 
 Training goes over all training texts: every task runs minibatch gradient steps over its rows,
 starting from the shared weights, and gives out the rows of the weight table that it moved; these
-are averaged by how often each was used, and the next round starts there. The number of contexts
-grows with the training tokens, up to a bound; that of the classes is fixed. Counts of all words
+are averaged by how often each was used, and the next round starts there. Tasks are as many as run at once, or as
+``task_tokens`` asks for, so the tables that they hand on don't grow with the input's files. The number of contexts
+grows with the training tokens, up to a bound on what a task holds; that of the classes is fixed. Counts of all words
 are kept in a table and never gathered whole: only those frequent enough that at most
 ``frequent`` words are (a bound by count) are sent to the tasks; for the rest a document's
 distinct words are joined with the counts. Scoring is one pass in sparse numpy batches.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.text import ODD, blocks, hashed, mix, prepare, spans, text_column
+from tarmac.llm.text import ODD, blocks, hashed, mix, prepare, repeated, spans, text_column
 from tarmac.session import settle
 
 
@@ -42,7 +43,8 @@ class Settings:
     frequent: int = 1 << 17
     rounds: int = 2
     tokens_per_context: int = 2000
-    most_contexts_log2: int = 15
+    most_contexts_log2: int = 17
+    task_tokens: int = 1 << 28
     rate: float = 0.3
     batch: int = 8192
 
@@ -69,6 +71,8 @@ def grown(settings: Settings, words: Vocabulary) -> Settings:
 
 
 END = np.uint64(0x1234567887654321)
+#: Leading bits by which frequent words are looked up.
+LEAD = 20
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,13 +104,25 @@ class Vocabulary:
     distinct: int
     class_total: np.ndarray
     class_distinct: np.ndarray
+    starts: np.ndarray | None = None  # made where it is used
 
     def known(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each token its place among the frequent words, and whether it is one."""
         if not len(self.hashes):
             return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
-        at = np.minimum(np.searchsorted(self.hashes, values), len(self.hashes) - 1)
-        return at, self.hashes[at] == values
+        # Words with the same leading bits stand together; most often there is one at most.
+        if self.starts is None:
+            self.starts = np.searchsorted(self.hashes, np.arange(1 << LEAD, dtype=np.uint64) << np.uint64(64 - LEAD)).astype(np.int32)
+        at = self.starts.take((values >> np.uint64(64 - LEAD)).view(np.int64)).astype(np.int64)
+        last = len(self.hashes) - 1
+        np.minimum(at, last, out=at)
+        behind = np.flatnonzero(self.hashes.take(at) < values)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[at[behind] <= last]
+            behind = behind[self.hashes.take(at.take(behind)) < values.take(behind)]
+        np.minimum(at, last, out=at)
+        return at, self.hashes.take(at) == values
 
 
 def ending_class(endings: np.ndarray, settings: Settings) -> np.ndarray:
@@ -132,35 +148,56 @@ def classes_and_features(values: np.ndarray, endings: np.ndarray, starts: np.nda
     return classes, np.stack([before[0], size + pair, 2 * size + before[1]])
 
 
-def log_softmax(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Natural log probabilities of all classes for each token."""
-    z = weights[features[0]]
-    z += weights[features[1]]
-    z += weights[features[2]]
+def _raw_scores(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    z = weights.take(features[0], axis=0)
+    z += weights.take(features[1], axis=0)
+    z += weights.take(features[2], axis=0)
     z += weights[-1]
     z -= z.max(axis=1, keepdims=True)
+    return z
+
+
+def log_softmax(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Natural log probabilities of all classes for each token."""
+    z = _raw_scores(weights, features)
     z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
 
 
+def summed_rows(values: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Sums of the rows from each head to the next; two single-precision columns are added as one complex number."""
+    if values.shape[1] % 2:
+        return np.add.reduceat(values, heads, axis=0)
+    return np.add.reduceat(values.view(np.complex64), heads, axis=0).view(np.float32)
+
+
 def descend(weights: np.ndarray, squares: np.ndarray, used: np.ndarray, classes: np.ndarray, features: np.ndarray, settings: Settings) -> None:
     """Gradient steps over minibatches, with a step size for each weight that falls with its past gradients."""
+    size = 1 << settings.contexts_log2
+    small = np.uint16 if settings.contexts_log2 <= 16 else np.int64
     for lo in range(0, len(classes), settings.batch):
         y, f = classes[lo : lo + settings.batch], features[:, lo : lo + settings.batch]
-        slope = log_softmax(weights, f)
+        slope = _raw_scores(weights, f)
         np.exp(slope, out=slope)
-        np.negative(slope, out=slope)
+        slope /= -slope.sum(axis=1, keepdims=True)
         slope[np.arange(len(y)), y] += 1
-        flat, columns = slope.ravel().astype(float), np.arange(slope.shape[1])
-        for k, own in enumerate(f - (np.arange(3) << settings.contexts_log2)[:, None]):
-            many = np.bincount(own)
-            rows = np.flatnonzero(many)
-            sums = np.bincount((own[:, None] * slope.shape[1] + columns).ravel(), flat).reshape(-1, slope.shape[1])[rows]
-            step = (sums / np.sqrt(many[rows])[:, None]).astype(np.float32)
-            rows += k << settings.contexts_log2
-            squares[rows] += step * step
-            weights[rows] += np.float32(settings.rate) * step / np.sqrt(squares[rows] + np.float32(1.0))
-            used[rows] += many[rows - (k << settings.contexts_log2)]
+        for k in range(3):
+            own = (f[k] - k * size).astype(small)
+            order = np.argsort(own, kind="stable")
+            own = own.take(order)
+            heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            rows, many = own.take(heads).astype(np.int64) + k * size, np.diff(np.append(heads, len(own)))
+            step = summed_rows(slope.take(order, axis=0), heads)
+            step /= np.sqrt(many, dtype=np.float32)[:, None]
+            past = squares.take(rows, axis=0)
+            past += step * step
+            squares[rows] = past
+            past += np.float32(1.0)
+            step *= np.float32(settings.rate)
+            step /= np.sqrt(past, out=past)
+            step += weights.take(rows, axis=0)
+            weights[rows] = step
+            used[rows] += many
 
 
 def _round(texts: DataFrame, weights: np.ndarray, words: Vocabulary, settings: Settings) -> np.ndarray:
@@ -181,20 +218,34 @@ def _round(texts: DataFrame, weights: np.ndarray, words: Vocabulary, settings: S
         yield pa.RecordBatch.from_pydict({"row": pa.array(moved), "used": pa.array(used[moved]), "weights": pa.array([w.tobytes() for w in own[moved]], pa.binary())})
 
     def averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, list] = {}
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def folded() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            rows, many, sums = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(rows, kind="stable")
+            heads = np.flatnonzero(np.concatenate([[True], np.diff(rows[order]) != 0]))
+            return rows[order[heads]], np.add.reduceat(many[order], heads), np.add.reduceat(sums.take(order, axis=0), heads, axis=0)
+
         for batch in batches:
-            for row, many, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                have = sums.setdefault(row, [0, 0.0])
-                have[0] += many
-                have[1] = have[1] + many * np.frombuffer(data, np.float32).astype(float)
-        yield pa.RecordBatch.from_pydict({
-            "row": pa.array(list(sums), pa.int64()), "weights": pa.array([(s / n).astype(np.float32).tobytes() for n, s in sums.values()], pa.binary())})
-
-    moved = texts.mapInArrow(run, "row bigint, used bigint, weights binary")
-    found = moved.repartition("row").mapInArrow(averaged, "row bigint, weights binary").collect()  # at most the rows of the table
+            if not batch.num_rows:
+                continue
+            rows, many = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            table = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float32).reshape(len(rows), -1)
+            held.append((rows, many, table * many[:, None].astype(float)))
+            if len(held) >= 64:
+                held = [folded()]
+        if held:
+            rows, many, sums = folded()
+            yield pa.RecordBatch.from_pydict({"row": pa.array(rows), "weights": pa.array([w.tobytes() for w in (sums / many[:, None]).astype(np.float32)], pa.binary())})
+
+    # Every task hands on the rows that it moved, so there are no more tasks than can run at once, unless they'd read too much.
+    context = texts.sparkSession.sparkContext
+    tasks = max(context.defaultParallelism, -(-words.total // settings.task_tokens))
+    moved = texts.coalesce(tasks).mapInArrow(run, "row bigint, used bigint, weights binary")
+    found = moved.repartition("row").mapInArrow(averaged, "row bigint, weights binary").toArrow()  # at most the rows of the table
     out = weights.copy()
-    for r in found:
-        out[r["row"]] = np.frombuffer(r["weights"], np.float32)
+    if found.num_rows:
+        out[found["row"].to_numpy()] = np.frombuffer(b"".join(found["weights"].to_pylist()), np.float32).reshape(found.num_rows, -1)
     return out
 
 
@@ -330,7 +381,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
         F.max("held_out").alias("held_out"), F.count("n_tokens").alias("copies"), F.sum("n_tokens").alias("n_tokens"),
         (F.coalesce(F.sum("n_known"), F.lit(0)) + F.sum(F.when(seen > 0, F.col("times")).otherwise(0))).alias("n_known"),
         (F.sum("logs") + F.sum(F.col("times") * F.log10(seen + 0.5))).alias("logs"), F.sum("fit").alias("fit"))
-    each = whole.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    each = repeated(whole, "copies")
     of = lambda c: (F.col(c) / F.col("copies"))
     bottom = float(np.log10(words.total + 0.5 * (words.distinct + 1)))
     return each.select(

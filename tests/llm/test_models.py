@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarmac.llm import langmodel, neighbours
+from tarmac.llm import text as text_helpers
 
 
 def tokens(text):
@@ -48,6 +49,60 @@ def test_the_model_beats_counts_on_texts_held_out(spark):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got) + 0.1 * sum(r["n_tokens"] for r in got)
 
 
+def plain_scores(data, words, weights, s):
+    """The score of each text, token by token, from the trained table."""
+    place = {int(h): i for i, h in enumerate(words.hashes)}
+    size, out = 1 << s.contexts_log2, []
+
+    def mixed(x):
+        return int(langmodel.mix(np.array([x & (2**64 - 1)], np.uint64))[0])
+
+    for _, text, *_ in data:
+        total, before = 0.0, (size - 1, size - 1)
+        for w in tokens(text):
+            code = int(langmodel.END) if w is None else int(langmodel.hashed(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0])
+            ending = 0 if w is None else int.from_bytes(w[:-4:-1], "little")
+            at = place.get(code)
+            n, rank = (0, 1 << 40) if at is None else (int(words.counts[at]), int(words.rank[at]))
+            y = rank if rank < s.own_classes else s.own_classes + mixed(ending & 0xFFFF) % s.ending_classes
+            context = rank if rank < s.own_contexts else s.own_contexts + mixed(ending) % (size - s.own_contexts - 1)
+            pair = mixed(before[0] * int(langmodel.ODD) + before[1]) >> (64 - s.contexts_log2)
+            z = [sum(float(weights[f, c]) for f in (before[0], size + pair, 2 * size + before[1], -1)) for c in range(s.classes)]
+            total += (z[y] - math.log(sum(map(math.exp, z)))) / math.log(10)
+            total += math.log10(n + 0.5) - math.log10(words.class_total[y] + 0.5 * (words.class_distinct[y] + 1))
+            before = (context, before[0])
+        out.append(round(total, 3))
+    return out
+
+
+def test_scores_are_those_of_the_model(spark):
+    data = two_languages(60) + [(900, "", "en", "s", 0), (901, "never seen wörds é", "en", "s", 0)]
+    s = langmodel.Settings(batch=256)
+    docs = spark.createDataFrame(data, odd.SCHEMA).coalesce(1)  # one task, in order: training can be repeated
+    got = {r["doc_id"]: round(r["score"], 3) for r in langmodel.score(docs, settings=s).collect()}
+    texts = docs.where("crc32(CAST(doc_id AS STRING)) % 5 <> 1").select("text")
+    words = langmodel.vocabulary(langmodel.count_words(texts, s), s)
+    want = plain_scores(data, words, langmodel.train(texts, words, s), s)
+    assert [got[r[0]] for r in data] == pytest.approx(want, abs=2e-2)
+
+
+def test_frequent_words_are_found_and_no_others():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 5, 3000):
+        hashes = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        crowd = np.uint64(1 << 63) + np.arange(min(n, 40), dtype=np.uint64)  # all in one slot
+        hashes = np.unique(np.concatenate([hashes, crowd]))
+        words = langmodel.Vocabulary(hashes, np.ones(len(hashes)), np.arange(len(hashes)), 0, 0, np.zeros(0), np.zeros(0))
+        asked = np.concatenate([hashes, hashes + np.uint64(1), rng.integers(0, 2**64, 500, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        at, seen = words.known(asked)
+        assert seen.tolist() == np.isin(asked, hashes).tolist() and (not len(hashes) or (hashes[at[seen]] == asked[seen]).all())
+
+
+def test_rows_are_repeated_by_small_steps(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2500), ("c", 1024)], "k string, n bigint")
+    assert {r["k"]: r["count"] for r in text_helpers.repeated(df, "n").groupBy("k").count().collect()} == {"a": 1, "b": 2500, "c": 1024}
+
+
 def test_classes_share_out_all_probability():
     settings = langmodel.Settings()
     rng = np.random.default_rng(0)
@@ -60,7 +115,7 @@ def test_contexts_grow_with_the_counts_and_a_second_round_starts_from_the_first(
     settings = langmodel.Settings()
     none = np.zeros(0)
     sized = [langmodel.grown(settings, langmodel.Vocabulary(none, np.full(v, n), none, v * n, v, none, none)) for v, n in ((0, 0), (5_000, 4_000), (50_000, 4_000))]
-    assert [s.contexts_log2 for s in sized] == [12, 14, 15] and [s.own_contexts for s in sized] == [2048, 5000, 1 << 14]
+    assert [s.contexts_log2 for s in sized] == [12, 14, 17] and [s.own_contexts for s in sized] == [2048, 5000, 50_000]
     assert all(s.own_contexts < (1 << s.contexts_log2) - 1 for s in sized) and settings.rounds >= 2
     texts = odd.frame(spark, two_languages(300)).select("text")
     words = langmodel.vocabulary(langmodel.count_words(texts, settings), settings)
