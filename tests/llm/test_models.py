@@ -75,10 +75,11 @@ def plain_scores(data, words, weights, s):
     return out
 
 
-def test_scores_are_those_of_the_model(spark):
+def test_scores_are_those_of_the_model(spark, tmp_path):
     data = two_languages(60) + [(900, "", "en", "s", 0), (901, "never seen wörds é", "en", "s", 0)]
     s = langmodel.Settings(batch=256)
-    docs = spark.createDataFrame(data, odd.SCHEMA).coalesce(1)  # one task, in order: training can be repeated
+    spark.createDataFrame(data, odd.SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")  # one file, so one task reads it in order and training can be repeated
     got = {r["doc_id"]: round(r["score"], 3) for r in langmodel.score(docs, settings=s).collect()}
     texts = docs.where("crc32(CAST(doc_id AS STRING)) % 5 <> 1").select("text")
     words = langmodel.vocabulary(langmodel.count_words(texts, s), s)
