@@ -1,7 +1,8 @@
 """Model quality, gates and drift as distributed aggregations.
 
-Scores are first reduced to one row per distinct value, then cumulated over score
-buckets; no step orders all predictions in one task.
+Scores are first reduced to one row per distinct value, then cumulated over ranges of
+scores; no step orders all predictions in one task. ``drift`` is exact and shuffles distinct
+values; ``sketches.sketch_drift`` compares periods from stored daily sketches.
 """
 
 from __future__ import annotations
@@ -13,23 +14,24 @@ from pyspark.sql import functions as F
 
 from tarmac.config import DEFAULT, Thresholds
 from tarmac.operators.ordered import islands, running_sum, time_bucket, with_previous
+from tarmac.operators.sketches import with_even_range
 from tarmac.session import settle
 
-SCORE_BUCKETS = 4096
+def curve(scored: DataFrame, keys: Sequence[str] = ("model_version",), p: str = "p_delay", y: str = "target", ranges: int = 256) -> DataFrame:
+    """Cumulative hits and precision at every distinct score, ties taken together.
 
-
-def curve(scored: DataFrame, keys: Sequence[str] = ("model_version",), p: str = "p_delay", y: str = "target") -> DataFrame:
-    """Cumulative hits and precision at every distinct score, ties taken together."""
+    Scores are cumulated over ``ranges`` of about equally many distinct ones, wherever they crowd.
+    """
     known = scored.filter(F.col(p).isNotNull() & F.col(y).isNotNull())
     per = (
         known.groupBy(*keys, F.col(p).alias("p"))
         .agg(F.count("*").alias("n"), F.sum(F.col(y).cast("bigint")).alias("pos"))
         .withColumn("rank", -F.col("p"))
     )
-    bucket = F.floor(F.col("rank") * SCORE_BUCKETS).cast("bigint")
+    # High scores come first, so the ranges are numbered downwards.
     cum = running_sum(
-        per, list(keys), ["rank"], {"seen": F.col("n"), "tp": F.col("pos")}, bucket=bucket
-    )
+        with_even_range(per, "p", "__range", ranges), list(keys), ["rank"], {"seen": F.col("n"), "tp": F.col("pos")}, bucket=-F.col("__range")
+    ).drop("__range")
     return cum.withColumn("precision", F.col("tp") / F.col("seen"))
 
 

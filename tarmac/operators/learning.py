@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators.joins import latest_by
+from tarmac.operators.ordered import running_sum
 
 
 def split(
@@ -102,24 +103,23 @@ def top_features(scored: DataFrame, features: Sequence[str], w: Sequence[float],
     )
 
 
-def shuffled_labels(df: DataFrame, y: str = "target", seed: int = 11, groups: int = 4096) -> DataFrame:
+def shuffled_labels(df: DataFrame, y: str = "target", seed: int = 11) -> DataFrame:
     """The same labels in another order: a control on which no model may pass the gate.
 
-    Rows are paired with labels by rank of two hashes inside hash groups, so classes
-    keep their sizes and no task sees all rows. Rows are taken to differ, as feature
-    rows do by airport and window. This control shows that the measure is fair; a leak is found by
-    ``leaked_features``. ``groups`` bounds the rows that one task orders.
+    Every row is ranked among all rows by one hash, every label by another, and equal ranks
+    meet, so a row keeps its label as often as chance has it, at any number of rows. Ranks are
+    running counts over ranges of the hash, so no task orders all rows. This control shows
+    that the measure is fair; a leak is found by ``leaked_features``.
     """
-    from pyspark.sql import Window
-
     cols = [c for c in df.columns if c != y]
-    base = df.withColumn("__row", F.xxhash64(*[F.col(c).cast("string") for c in cols]))
-    grp = F.pmod(F.xxhash64("__row", F.lit(seed)), F.lit(groups))
-    base = base.withColumn("__g", grp)
-    left = base.withColumn("__k", F.row_number().over(Window.partitionBy("__g").orderBy("__row")))
-    mixed = Window.partitionBy("__g").orderBy(F.xxhash64("__row", F.lit(seed + 1)))
-    right = base.withColumn("__k", F.row_number().over(mixed)).select("__g", "__k", F.col(y).alias("__y"))
-    return left.join(right, ["__g", "__k"]).select(*cols, F.col("__y").alias(y))
+    base = df.withColumn("__row", F.xxhash64(*[F.col(c).cast("string") for c in cols], F.lit(seed)))
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        return running_sum(rows, [], ["__h"], {"__k": F.lit(1)}, bucket=F.shiftright("__h", 52))
+
+    left = ranked(base.withColumn("__h", F.col("__row")))
+    right = ranked(base.select(F.xxhash64("__row", F.lit(seed + 1)).alias("__h"), F.col(y).alias("__y"))).select("__k", "__y")
+    return left.join(right, "__k").select(*cols, F.col("__y").alias(y))
 
 
 def late_features(df: DataFrame, feature_times: Sequence[str], window: str = "window_start", window_s: int = 900) -> DataFrame:

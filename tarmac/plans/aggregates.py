@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarmac.operators import board, dedupe, features, joins, monitor, quality, tracks
+from tarmac.operators import board, dedupe, features, joins, monitor, quality, sketches, tracks
 from tarmac.plans.joining import (
     AIRPORT_VALUES, HAVERSINE, INTERVALS, STATE_BAD, _DELAYS, airports, delays,
 )
@@ -127,6 +127,25 @@ def a08(t: Tables):
     return features.profile(silver_states(t), "first_seen", airport="nearest_icao")
 
 
+@query("a08_profile_period", ["v_bronze"], """
+    SELECT date_trunc('week', ingested_at) AS period, count(DISTINCT CAST(ingested_at AS DATE)) AS days, count(*) AS n_rows, count(DISTINCT icao24) AS n_icao24, count(DISTINCT airport) AS n_airport
+    FROM v_bronze GROUP BY 1""")
+def a08p(t: Tables):
+    # Daily sketches large enough to hold every aircraft of the given tables: distinct counts are then exact.
+    daily = sketches.subject_sketches(t.v_bronze, "ingested_at", ["icao24", "airport"], lg=17)
+    return sketches.profile_over(daily, F.date_trunc("week", F.col("day").cast("timestamp")), ["icao24", "airport"], lg=17)
+
+
+@query("a08_seen_again", ["v_bronze"], """
+    SELECT count(DISTINCT icao24) FILTER (WHERE early) AS n_first, count(DISTINCT icao24) FILTER (WHERE NOT early) AS n_second,
+      (SELECT count(*) FROM (SELECT icao24 FROM v_bronze GROUP BY icao24 HAVING min(ingested_at) < TIMESTAMP '2024-01-16 00:00:00' AND max(ingested_at) >= TIMESTAMP '2024-01-16 00:00:00') b) AS n_both
+    FROM (SELECT icao24, ingested_at < TIMESTAMP '2024-01-16 00:00:00' AS early FROM v_bronze) x""")
+def a08s(t: Tables):
+    daily = sketches.subject_sketches(t.v_bronze, "ingested_at", ["icao24"], lg=17)
+    early = F.col("day") < F.lit("2024-01-16").cast("date")
+    return sketches.seen_in_both(daily, early, ~early, "icao24", lg=17)
+
+
 @query("a09_poll_health", ["v_poll"], """
     SELECT source, count(*) AS polls, count(*) FILTER (WHERE NOT ok) AS failures, count(*) FILTER (WHERE NOT ok) / count(*) AS error_rate,
       sum(rows_written) / ((epoch_us(max(started_at)) - epoch_us(min(started_at))) / 36e8) AS rows_per_hour, quantile_cont(round(duration_seconds, 3), 0.5) AS median_latency,

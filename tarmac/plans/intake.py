@@ -149,10 +149,13 @@ def s04(t: Tables):
 
 def faa_bodies(t: Tables) -> DataFrame:
     arpt = "CASE WHEN event_id % 17 = 4 THEN '' WHEN event_id % 3 = 0 THEN '<ARPT>jfk</ARPT>' ELSE '<Arpt> EWR </Arpt>' END"
-    reason = "'<Reason>r' || CAST(event_id AS STRING) || '</Reason>'"
+    # Shapes that mislead a reader of plain text: commented-out sections, attributes, character data, children with children.
+    reason = "'<Reason lang=\"en\"><![CDATA[r' || CAST(event_id AS STRING) || ']]></Reason>'"
+    note = "'<Detail><Item><Text>a &gt; b</Text></Item></Detail>'"
+    hidden = "'<!-- <Delay_type><Name>Airport Closures</Name><X><ARPT>LAX</ARPT></X></Delay_type> -->'"
     piece = f"""CASE event_id % 4
-        WHEN 0 THEN '<Delay_type><Name>Ground Stop Programs</Name><Ground_Stop_List><Program>' || {arpt} || {reason} || '<End_Time>18:00</End_Time></Program></Ground_Stop_List></Delay_type>'
-        WHEN 1 THEN '<Delay_type><Name>Ground Delay Programs</Name><Ground_Delay_List><Ground_Delay>' || {arpt} || {reason} || '<Avg>45 minutes</Avg></Ground_Delay></Ground_Delay_List></Delay_type>'
+        WHEN 0 THEN {hidden} || '<Delay_type kind="x > y"><Name>Ground Stop Programs</Name><Ground_Stop_List><Program>' || {note} || {arpt} || {reason} || '<End_Time>18:00</End_Time></Program></Ground_Stop_List></Delay_type>'
+        WHEN 1 THEN '<Delay_type><Name a="b">Ground Delay Programs</Name><Ground_Delay_List><Deep><Deeper><Ground_Delay>' || {arpt} || {reason} || '<Avg>45 minutes</Avg></Ground_Delay></Deeper></Deep></Ground_Delay_List></Delay_type>'
         WHEN 2 THEN '<Delay_type><Name>Airport Closures</Name><Airport_Closure_List><Airport>' || {arpt} || {reason} || '<Start>Aug 08 at 02:00 UTC.</Start><Reopen>x</Reopen></Airport><Airport><ARPT>ORD</ARPT>' || {reason} || '<Start> </Start></Airport></Airport_Closure_List></Delay_type>'
         ELSE '<Delay_type><Name>Volcano Watch</Name><Ground_Stop_List><Program>' || {arpt} || {reason} || '</Program></Ground_Stop_List></Delay_type>' END"""
     rows = t.table("events").withColumn("piece", F.expr(piece))
@@ -172,10 +175,17 @@ def faa_bodies(t: Tables) -> DataFrame:
 def s05(t: Tables):
     e = faa.parse_faa(faa_bodies(t))
     code = F.when(F.col("airport") == "JFK", "<ARPT>jfk</ARPT>").when(F.col("airport") == "ORD", "<ARPT>ORD</ARPT>").otherwise("<Arpt> EWR </Arpt>")
-    own = F.contains("raw_xml", F.concat(F.lit("<Reason>"), "reason", F.lit("</Reason>"))) & F.contains("raw_xml", code)
+    own = F.contains("raw_xml", F.concat(F.lit('<Reason lang="en">'), "reason", F.lit("</Reason>"))) & F.contains("raw_xml", code)
     return e.select("reason", "airport", "event_type", "start_text", "end_text", "avg_delay_text", F.coalesce(own, F.lit(False)).alias("fragment_is_own"))
 
 
+@query("s05_unseen_records", [], "SELECT count(*) FILTER (WHERE event_id % 4 = 3 AND event_id % 17 <> 4) AS missed FROM events")
+def s05_unseen(t: Tables):
+    # The unknown section's airports are the only ones that are named and not read.
+    bodies = faa_bodies(t)
+    return faa.unseen_records(bodies, faa.parse_faa(bodies)).agg(F.coalesce(F.sum(F.col("named") - F.col("parsed")), F.lit(0)).alias("missed"))
+
+
 @query("s06_parse_aircraft", ["v_register"], r"""
     SELECT lower(trim(icao24)) AS icao24, nullif(trim(reg, chr(39)), '') AS registration, nullif(trim(icaoaircrafttype), '') AS typecode, model,
       trim(manufacturername) AS manufacturer, nullif(trim(operator), '') AS operator, CAST(NULL AS VARCHAR) AS operator_icao,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarmac.operators import evaluate, features, joins, learning
+from tarmac.operators import evaluate, features, joins, learning, sketches
 from tarmac.plans.aggregates import TARGETS, WINDOWS, gold_counts
 from tarmac.plans.joining import airports, delays, intervals
 from tarmac.plans.registry import query
@@ -85,6 +85,46 @@ def a17(t: Tables):
     return evaluate.drift(old, moved, ["velocity_ms", "baro_altitude_m", "vertical_rate_ms", "latitude"])
 
 
+#: Sketches of this size have seen no more values in the given tables than they can hold, so their ranks are exact there.
+_EXACT = 65535
+
+# Shares between reference quantiles, and distances at the hundredths of either side, in thousandths, by row numbers.
+_SKETCHED = """
+    n AS (SELECT KEYS, count(*) FILTER (WHERE live = 0) AS rr, count(*) FILTER (WHERE live = 1) AS lr, count(value) FILTER (WHERE live = 0) AS rn, count(value) FILTER (WHERE live = 1) AS ln FROM l GROUP BY KEYS),
+      o AS (SELECT KEYS, live, value, row_number() OVER (PARTITION BY KEYS, live ORDER BY value) AS rn, count(*) OVER (PARTITION BY KEYS, live) AS total FROM l WHERE value IS NOT NULL),
+      points AS (SELECT KEYS, live, i, min(value) AS v FROM o JOIN (SELECT unnest(range(1, 101)) AS i) q ON rn * 100 >= total * i GROUP BY ALL),
+      e AS (SELECT KEYS, points.live, i, (count(*) FILTER (WHERE o.live = 0 AND value <= v) * 1000) // any_value(n.rn) / 1e3 AS fr, (count(*) FILTER (WHERE o.live = 1 AND value <= v) * 1000) // any_value(n.ln) / 1e3 AS fl
+        FROM points JOIN o USING (KEYS) JOIN n USING (KEYS) GROUP BY KEYS, points.live, i),
+      c AS (SELECT KEYS, i, fr, fl FROM e WHERE live = 0 AND i % 10 = 0 AND i < 100 UNION ALL SELECT KEYS, 100, 1e0, 1e0 FROM n WHERE rn > 0 AND ln > 0),
+      p AS (SELECT KEYS, greatest(fr - coalesce(lag(fr) OVER w, 0), 1e-4) AS a, greatest(fl - coalesce(lag(fl) OVER w, 0), 1e-4) AS b FROM c WINDOW w AS (PARTITION BY KEYS ORDER BY i)),
+      psi AS (SELECT KEYS, sum((b - a) * ln(b / a)) AS psi FROM p GROUP BY KEYS),
+      k AS (SELECT KEYS, max(abs(fr - fl)) AS ks FROM e GROUP BY KEYS)
+    SELECT KEYS, psi, ks, (n.lr - n.ln) / n.lr - (n.rr - n.rn) / n.rr AS null_shift FROM n JOIN psi USING (KEYS) JOIN k USING (KEYS)"""
+
+
+def _sketched(key: str) -> str:
+    return _SKETCHED.replace("KEYS", key)
+
+
+@query("a17_sketch_drift", ["v_obs"], f"WITH l AS (SELECT * FROM {_LONG} x), {_sketched('feature')}", ["psi", "ks", "null_shift"])
+def a17s(t: Tables):
+    # The same change as above, but both periods are kept as daily sketches and compared without their rows.
+    late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp")
+    moved = t.v_obs.withColumn("velocity_ms", F.when(late, F.col("velocity_ms") * 1.25).otherwise(F.col("velocity_ms"))).withColumn(
+        "latitude", F.when(~late | F.expr("event_id % 4 <> 0"), F.col("latitude")))
+    daily = sketches.feature_sketches(moved, "ts", ["velocity_ms", "baro_altitude_m", "vertical_rate_ms", "latitude"], k=_EXACT)
+    old = F.col("day") < F.lit("2024-01-16").cast("date")
+    return sketches.sketch_drift(daily.filter(old), daily.filter(~old))
+
+
+@query("a17_prediction_drift", ["v_scored"], "WITH l AS (SELECT model_version, CAST(ts >= TIMESTAMP '2024-01-16 00:00:00' AS INTEGER) AS live, p_delay AS value FROM v_scored), "
+       + _sketched("model_version"), ["psi", "ks", "null_shift"])
+def a17p(t: Tables):
+    daily = sketches.feature_sketches(t.v_scored, "ts", ["p_delay"], k=_EXACT, keys=["model_version"])
+    old = F.col("day") < F.lit("2024-01-16").cast("date")
+    return sketches.sketch_drift(daily.filter(old), daily.filter(~old), keys=["model_version"])
+
+
 @query("a18_majority_baseline", ["v_scored"], """
     SELECT CAST(target AS INTEGER) AS majority_class, n / (SELECT count(target) FROM v_scored) AS share FROM
       (SELECT target, count(*) AS n FROM v_scored WHERE target IS NOT NULL GROUP BY target) c ORDER BY n DESC, target LIMIT 1""", ["share"])

@@ -28,10 +28,10 @@ def live(t: Tables, view: str) -> DataFrame:
     return t.spark.sql(_sql(view, 0), events=raw)
 
 
-def finish(t: Tables, df: DataFrame, name: str) -> DataFrame:
+def finish(t: Tables, df: DataFrame, name: str, conf: dict[str, str] | None = None) -> DataFrame:
     """Run a streaming frame to the end of its input and read what it wrote."""
     root = scratch_dir(t.spark, name)
-    flows.run_to_end(flows.start(df, f"{root}/checkpoint", path=f"{root}/out"))
+    flows.run_to_end(flows.start(df, f"{root}/checkpoint", path=f"{root}/out", conf=conf))
     return t.spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
@@ -70,7 +70,8 @@ def r03(t: Tables):
     return finish(t, flows.stream_segments(df, gap="6 hours"), "segments")
 
 
-_CLOSED = "floor(epoch(ts) / 7200) * 7200 + 7200 + 900 <= (SELECT epoch(max(last_contact)) FROM v_track)"
+# Points that the last watermark has passed, with the minute that an alert may be held back.
+_CLOSED = "ceil(epoch(ts) / 60) * 60 + 900 <= (SELECT epoch(max(last_contact)) FROM v_track)"
 
 
 @query("r04_stream_events", ["v_track"], f"""
@@ -78,9 +79,8 @@ _CLOSED = "floor(epoch(ts) / 7200) * 7200 + 7200 + 900 <= (SELECT epoch(max(last
     UNION ALL SELECT 'hold', airport, icao24, ts, since FROM (SELECT airport, icao24, make_timestamp(CAST(sec * 1000000 AS BIGINT)) AS ts,
       make_timestamp(CAST(first_sec * 1000000 AS BIGINT)) AS since FROM {HOLD_HITS} h WHERE holding) h WHERE {_CLOSED}""")
 def r04(t: Tables):
-    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ev.STATE_STORE)
     points = tracks.track_points(live(t, "v_track"), airports(t))
-    return finish(t, ev.stream_events(points), "alerts")
+    return finish(t, ev.stream_events(points), "alerts", ev.STATE_STORE)
 
 
 @query("r05_merge_late", ["v_bronze"], """

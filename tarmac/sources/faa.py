@@ -1,7 +1,15 @@
-"""Delay-program notices: XML documents to one row per program and airport."""
+"""Delay-program notices: XML documents to one row per program and airport.
+
+Each document is parsed once, by an Arrow-batched helper that gives out its sections, the records
+in them and the number of airports it names. Everything else is column expressions, so the
+readers work on batches and on streams alike.
+"""
 
 from __future__ import annotations
 
+from xml.etree import ElementTree
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,20 +18,15 @@ from tarmac.functions.text import event_type, first_text, norm_faa
 from tarmac.functions.timing import program_times
 
 # Accepted spellings per field, first non-blank wins. Fixed values.
-AIRPORT = ("ARPT",)
+AIRPORT = ("ARPT", "Arpt")
 START = ("Start", "Start_Time", "Begin_Time")
 END = ("Reopen", "End_Time", "Stop_Time", "End")
 AVERAGE = ("Avg", "Avg_Delay", "Arrival_Departure")
 
-_FIELDS = ", ".join(f"{n} string" for n in (*AIRPORT, "Reason", *START, *END, *AVERAGE))
-DOCUMENT = "Update_Time string, Delay_type array<struct<Name:string>>"
-# A record is whatever element has an airport child, under any name and in any wrapper: an
-# opening tag, complete children without children of their own, and then the airport.
-_RECORD_TEXT = (
-    r"(?is)<([\w.:-]+)(?:\s[^<>]*)?>\s*"
-    r"(?:<([\w.:-]+)(?:\s[^<>]*)?>[^<]*</\2>\s*|<[\w.:-]+(?:\s[^<>]*)?/>\s*|<!--.*?-->\s*)*"
-    rf"<(?:{'|'.join(AIRPORT)})[\s>].*?</\1\s*>"
-)
+SECTION, TITLE = "Delay_type", "Name"
+_FIELDS = (*AIRPORT, "Reason", *START, *END, *AVERAGE)
+_RECORD = f"struct<section:string,{','.join(f'`f_{i}`:string' for i in range(len(_FIELDS)))},raw_xml:string>"
+NOTICE = f"struct<records:array<{_RECORD}>,named:int>"
 
 IDENTITY = ["airport", "event_type", "reason", "start_text", "end_text", "avg_delay_text", "raw_xml"]
 
@@ -34,59 +37,85 @@ def safe_body(body: str | Column) -> Column:
     return F.when(~F.contains(F.lower(c), F.lit("<!doctype")), c)
 
 
-def _sections(landed: DataFrame, body: str) -> DataFrame:
-    # The text of each section is cut out beside the parsed form so that records can
-    # keep their own source fragment.
-    texts = F.regexp_extract_all(F.col(body), F.lit(r"(?s)<Delay_type>(.*?)</Delay_type>"), 1)
-    doc = F.from_xml(safe_body(body), DOCUMENT)
-    return (
-        landed.withColumn("__doc", doc)
-        .withColumn("__text", texts)
-        .withColumn("__sec", F.explode(F.arrays_zip(F.col("__doc")["Delay_type"].alias("s"), F.col("__text").alias("t"))))
-    )
+def _own_text(element: ElementTree.Element, name: str) -> str | None:
+    """Text of the first child of this name, up to that child's own children; null without one."""
+    child = element.find(name)
+    return None if child is None else child.text
 
 
-def parse_faa(landed: DataFrame, body: str = "body") -> DataFrame:
-    """Events of known sections with an airport; the source fragment stays attached.
+def _fragment(element: ElementTree.Element) -> str:
+    """The element written out for itself, without the text that follows it."""
+    after, element.tail = element.tail, None
+    try:
+        return ElementTree.tostring(element, encoding="unicode")
+    finally:
+        element.tail = after
+
 
-    Each fragment is cut out of its section once and parsed for itself, whatever its tag.
+def read_notice(body: str | None) -> dict | None:
+    """Records and the number of named airports of one document; null when it is not well-formed.
+
+    A record is an element, at any depth below a section, with an airport among its children.
     """
-    sec = F.col("__sec")
-    rows = (
-        _sections(landed, body)
-        .withColumn("event_type", event_type(sec["s"]["Name"]))
-        .filter(F.col("event_type").isNotNull())
-        .select(
-            "poll_id", "ingested_at", "event_type",
-            F.explode(F.regexp_extract_all(sec["t"], F.lit(_RECORD_TEXT), F.lit(0))).alias("__t"),
-        )
-        .withColumn("__r", F.from_xml("__t", _FIELDS))
-    )
+    if body is None:
+        return None
+    try:
+        root = ElementTree.fromstring(body)
+    except ElementTree.ParseError:
+        return None
+    records = []
+    for section in root.iter(SECTION):
+        title = _own_text(section, TITLE)
+        for element in section.iter():
+            if element is not section and any(element.find(n) is not None for n in AIRPORT):
+                fields = {f"f_{i}": _own_text(element, n) for i, n in enumerate(_FIELDS)}
+                records.append({"section": title, **fields, "raw_xml": _fragment(element)})
+    wanted = {n.lower() for n in AIRPORT}
+    # Under any namespace and spelling, wherever it stands: what a reader of the text would call an airport.
+    named = sum(e.tag.rsplit("}", 1)[-1].lower() in wanted and bool((e.text or "").strip()) for e in root.iter())
+    return {"records": records, "named": named}
+
+
+def _read_notices(bodies: pd.Series) -> pd.DataFrame:
+    read = [read_notice(b) for b in bodies]
+    return pd.DataFrame({
+        "records": pd.Series([None if r is None else r["records"] for r in read], dtype=object),
+        "named": pd.array([None if r is None else r["named"] for r in read], dtype="Int32"),
+    })
+
+
+def notice_tree(body: str | Column) -> Column:
+    """Struct of the document's records and ``named``; its fields are null for an unreadable or unsafe one."""
+    return F.pandas_udf(_read_notices, NOTICE)(safe_body(body))
+
+
+def parse_faa(landed: DataFrame, body: str = "body") -> DataFrame:
+    """Events of known sections with an airport; the record's own XML stays attached."""
+    rows = landed.select("poll_id", "ingested_at", notice_tree(body).alias("__n")).select(
+        "poll_id", "ingested_at", F.explode("__n.records").alias("__r"))
     r = F.col("__r")
+    text = {n: r[f"f_{i}"] for i, n in enumerate(_FIELDS)}
     events = rows.select(
         "poll_id", "ingested_at",
-        norm_faa(first_text(*[r[n] for n in AIRPORT])).alias("airport"), "event_type",
-        first_text(r["Reason"]).alias("reason"),
-        first_text(*[r[n] for n in START]).alias("start_text"),
-        first_text(*[r[n] for n in END]).alias("end_text"),
-        first_text(*[r[n] for n in AVERAGE]).alias("avg_delay_text"),
-        F.col("__t").alias("raw_xml"),
+        norm_faa(first_text(*[text[n] for n in AIRPORT])).alias("airport"), event_type(r["section"]).alias("event_type"),
+        first_text(text["Reason"]).alias("reason"),
+        first_text(*[text[n] for n in START]).alias("start_text"),
+        first_text(*[text[n] for n in END]).alias("end_text"),
+        first_text(*[text[n] for n in AVERAGE]).alias("avg_delay_text"),
+        r["raw_xml"].alias("raw_xml"),
     )
-    kept = events.filter(F.col("airport").isNotNull())
+    kept = events.filter(F.col("airport").isNotNull() & F.col("event_type").isNotNull())
     return kept.withColumn("payload_hash", payload_hash(IDENTITY))
 
 
 def unreadable_faa(landed: DataFrame, body: str = "body") -> DataFrame:
     """Documents that are broken or carry a document type; they fail the batch gate."""
-    tagged = F.coalesce(F.from_xml(safe_body(body), DOCUMENT + ", _corrupt_record string"), F.lit(None))
-    return landed.filter(tagged.isNull() | tagged["_corrupt_record"].isNotNull())
+    return landed.withColumn("__n", notice_tree(body)["named"]).filter(F.col("__n").isNull()).drop("__n")
 
 
 def unseen_records(landed: DataFrame, parsed: DataFrame, body: str = "body") -> DataFrame:
-    """Polls whose text names more airports than were parsed: a new wrapper appeared."""
-    named = landed.select(
-        "poll_id", F.size(F.regexp_extract_all(F.col(body), F.lit("(?i)<arpt>"), 0)).alias("named")
-    )
+    """Polls whose documents name more airports than were parsed: a new section, spelling or wrapper appeared."""
+    named = landed.groupBy("poll_id").agg(F.sum(notice_tree(body)["named"]).cast("int").alias("named"))
     got = parsed.groupBy("poll_id").agg(F.count("*").alias("parsed"))
     return (
         named.join(got, "poll_id", "left").na.fill(0, ["parsed"])

@@ -1,13 +1,25 @@
-"""Layers on storage: append, read, replace, compact, backfill."""
+"""Layers on storage: append, read, replace, compact, backfill.
+
+A bronze table is what its *ledger* says. Files are written first, where nobody looks for them, and
+count from the moment a manifest that names them is renamed into the ledger, which either
+happens or does not. There is one folder of manifests for each ingestion day:
+
+* ``<batch>.json`` names the files that a batch has brought for the day. The rename fails if the
+  name is taken, so a batch that is run again after a crash counts once.
+* ``v<n>.json`` is a version of the day: all its files, and the batches folded into it. The
+  highest one holds, together with the batches that it does not name. ``compact`` writes these.
+"""
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -15,6 +27,7 @@ from tarmac.functions.timing import partition_keys
 from tarmac.schemas import SCHEMAS, conform
 
 _PARTS = (StructField("date", StringType()), StructField("hour", StringType()))
+_LEDGER, _BATCH = "_ledger", "__batch"
 
 
 @dataclass(frozen=True)
@@ -29,38 +42,125 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _size(spark: SparkSession, path: str) -> int:
+def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
-    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+    return bool(fs.exists(p))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def append_bronze(df: DataFrame, root: str, source: str, ingested: str = "ingested_at") -> WriteResult:
-    """Append a batch under ``root/source/date=/hour=`` of its ingestion time.
+def _files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path below ``path``, bytes) of all Parquet files there."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    top, found, out = len(p.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toUri().getPath()) + 1, fs.listFiles(p, True), []
+    while found.hasNext():
+        st = found.next()
+        if st.getPath().getName().endswith(".parquet"):
+            out.append((st.getPath().toUri().getPath()[top:], int(st.getLen())))
+    return sorted(out)
+
+
+def _get(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return str(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
-    Existing files are never touched and an empty batch leaves none. Rows are in time
-    order inside each file.
+
+def _put(spark: SparkSession, path: str, text: str, replace: bool = False) -> bool:
+    """Put a small file in place as a whole; False if it is there already and must not be replaced."""
+    jvm, (fs, final) = spark._jvm, _fs(spark, path)
+    staged = jvm.org.apache.hadoop.fs.Path(f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    out = fs.create(staged, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    ctx = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), spark._jsc.hadoopConfiguration())
+    how = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE if replace else jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        ctx.rename(staged, final, how)
+    except Py4JJavaError as e:
+        fs.delete(staged, False)
+        if "FileAlreadyExistsException" in str(e.java_exception):
+            return False
+        raise
+    return True
+
+
+def _day_state(spark: SparkSession, target: str, day: str) -> tuple[int, list[str], dict[str, int]]:
+    """The day's version (0 without one), the batches seen, and its live files with their bytes."""
+    folder = f"{target}/{_LEDGER}/date={day}"
+    names = [n for n in _names(spark, folder) if n.endswith(".json")]
+    versions = [int(m[1]) for n in names if (m := re.fullmatch(r"v(\d+)\.json", n))]
+    version, files, folded = max(versions, default=0), {}, set()
+    if version:
+        held = json.loads(_get(spark, f"{folder}/v{version}.json"))
+        files, folded = dict(held["files"]), set(held["folded"])
+    batches = [n for n in names if not re.fullmatch(r"v\d+\.json", n)]
+    for n in batches:
+        if n not in folded:
+            files.update(json.loads(_get(spark, f"{folder}/{n}"))["files"])
+    return version, batches, files
+
+
+def _write_files(df: DataFrame, target: str, token: str, ingested: str | None) -> dict[str, list[tuple[str, int]]]:
+    """Write rows with ``date`` and ``hour`` below a folder of their own; the files by day."""
+    order = [c for c in (ingested,) if c and c in df.columns]
+    df.sortWithinPartitions("date", "hour", *order).write.partitionBy("date", "hour").option("compression", "zstd").parquet(f"{target}/{_BATCH}={token}")
+    days: dict[str, list[tuple[str, int]]] = {}
+    for path, size in _files(df.sparkSession, f"{target}/{_BATCH}={token}"):
+        days.setdefault(re.match(r"date=([^/]+)/", path)[1], []).append((f"{_BATCH}={token}/{path}", size))
+    return days
+
+
+def append_bronze(df: DataFrame, root: str, source: str, ingested: str = "ingested_at", batch: str | None = None) -> WriteResult:
+    """Append a batch under the date and hour of its ingestion time.
+
+    Existing files are never touched and an empty batch leaves none. Rows are in time order
+    inside each file, and are counted by the write itself. A ``batch`` that is in the ledger
+    already is not brought again, and one that was cut off while it was entered is completed.
     """
-    spark = df.sparkSession
-    target = f"{root}/{source}"
-    pinned = conform(df, source) if source in SCHEMAS else df
-    rows = pinned.count()
-    if rows == 0:
+    spark, target = df.sparkSession, f"{root}/{source}"
+    if batch is not None and not re.fullmatch(r"(?!v\d+$)[\w.=-]{1,200}", batch):
+        raise ValueError(f"not a name for a batch: {batch!r}")
+    done = f"{target}/{_LEDGER}/_done/{batch}"
+    if batch is not None and exists(spark, done):
         return WriteResult(0, 0)
+    pinned = conform(df, source) if source in SCHEMAS else df
     day, hour = partition_keys(F.col(ingested))
-    was = _size(spark, target)
-    (
-        pinned.withColumn("date", day).withColumn("hour", hour)
-        # Adaptive execution sizes the pieces: a hot hour is split, quiet ones share a task.
-        .hint("rebalance", "date", "hour")
-        .sortWithinPartitions("date", "hour", ingested)
-        .write.mode("append").partitionBy("date", "hour").option("compression", "zstd").parquet(target)
-    )
-    return WriteResult(rows=rows, bytes=max(0, _size(spark, target) - was))
+    counted, token = Observation(), uuid.uuid4().hex
+    # Adaptive execution sizes the pieces: a hot hour is split, quiet ones share a task.
+    rows = pinned.withColumn("date", day).withColumn("hour", hour).observe(counted, F.count(F.lit(1)).alias("rows"))
+    days = _write_files(rows.hint("rebalance", "date", "hour"), target, token, ingested)
+    fs, own = _fs(spark, f"{target}/{_BATCH}={token}")
+    size = 0
+    for d, files in sorted(days.items()):
+        if _put(spark, f"{target}/{_LEDGER}/date={d}/{batch or token}.json", json.dumps({"files": files})):
+            size += sum(n for _, n in files)
+        else:  # entered before the batch was cut off
+            fs.delete(_fs(spark, f"{target}/{_BATCH}={token}/date={d}")[1], True)
+    if batch is not None:
+        _put(spark, done, "")
+    if not size:
+        fs.delete(own, True)
+        return WriteResult(0, 0)
+    return WriteResult(rows=int(counted.get["rows"]), bytes=size)
+
+
+def batch_writer(root: str, source: str, name: str, ingested: str = "ingested_at"):
+    """A function for ``foreachBatch`` that brings each micro-batch of the stream ``name`` exactly once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_bronze(batch, root, source, ingested, batch=f"{name}-{batch_id}")
+
+    return write
 
 
 def read_layer(
@@ -69,17 +169,28 @@ def read_layer(
 ) -> DataFrame:
     """Rows ingested in [start, end) with their partition columns as text.
 
-    The bounds also become partition filters, so closed days are not opened.
+    The ledgers of the days in the range are read once, now; the frame keeps to those files whatever is
+    appended or compacted later. The bounds also become partition filters.
     """
-    base = schema or SCHEMAS[source]
-    df = spark.read.schema(StructType([*base.fields, *_PARTS])).parquet(f"{root}/{source}")
+    target, full = f"{root}/{source}", StructType([*(schema or SCHEMAS[source]).fields, *_PARTS])
+    days = [n[5:] for n in _names(spark, f"{target}/{_LEDGER}") if n.startswith("date=")]
+    first, last = (None if x is None else x.strftime("%Y-%m-%d") for x in (start, end))
+    days = [d for d in days if (first is None or d >= first) and (last is None or d <= last)]
+    df = _read_files(spark, target, full, [f for d in days for f in _day_state(spark, target, d)[2]])
     if start is not None:
-        df = df.filter((F.col("date") >= start.strftime("%Y-%m-%d")) & (F.col(ingested) >= F.lit(start)))
+        df = df.filter((F.col("date") >= first) & (F.col(ingested) >= F.lit(start)))
     if end is not None:
-        df = df.filter((F.col("date") <= end.strftime("%Y-%m-%d")) & (F.col(ingested) < F.lit(end)))
+        df = df.filter((F.col("date") <= last) & (F.col(ingested) < F.lit(end)))
     return df
 
 
+def _read_files(spark: SparkSession, target: str, full: StructType, files: list[str]) -> DataFrame:
+    if not files:
+        return spark.createDataFrame([], full)
+    reader = spark.read.schema(full).option("basePath", target)
+    return reader.parquet(*[f"{target}/{f}" for f in files]).select(*full.names)
+
+
 def union_layers(*frames: DataFrame) -> DataFrame:
     """Batches of one pinned schema; a missing or extra column is an error."""
     out = frames[0]
@@ -104,26 +215,12 @@ def replace_reference(df: DataFrame, path: str) -> str:
         raise ValueError("refusing to write an empty reference table")
     version = f"{path}/v-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(version)
-    fs, pointer = _fs(spark, f"{path}/{_POINTER}")
-    _, staged = _fs(spark, f"{path}/{_POINTER}-{uuid.uuid4().hex[:8]}")
-    out = fs.create(staged, True)
-    out.write(bytearray(version.rsplit("/", 1)[-1].encode()))
-    out.close()
-    jvm = spark._jvm
-    ctx = jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration())
-    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    ctx.rename(staged, pointer, over)
+    _put(spark, f"{path}/{_POINTER}", version.rsplit("/", 1)[-1], replace=True)
     return version
 
 
 def read_reference(spark: SparkSession, path: str, name: str = "aircraft") -> DataFrame:
-    fs, pointer = _fs(spark, f"{path}/{_POINTER}")
-    stream = fs.open(pointer)
-    try:
-        version = "".join(chr(stream.read()) for _ in range(int(fs.getFileStatus(pointer).getLen())))
-    finally:
-        stream.close()
+    version = _get(spark, f"{path}/{_POINTER}")
     return spark.read.schema(SCHEMAS[name]).parquet(f"{path}/{version}")
 
 
@@ -144,15 +241,32 @@ def content_fingerprint(df: DataFrame) -> tuple[int, str]:
     return int(r["n"]), str(r["h"])
 
 
+def _bins(files: dict[str, int], small: int, target: int) -> list[list[str]]:
+    """Files below ``small`` bytes of one hour put together, largest first, up to ``target`` bytes; bins of one are left out."""
+    bins: dict[str, list[tuple[int, list[str]]]] = {}
+    for path, size in sorted(files.items(), key=lambda x: (-x[1], x[0])):
+        if size >= small:
+            continue
+        own = bins.setdefault(path.split("/", 1)[1].rsplit("/", 1)[0], [])
+        fits = [i for i, (used, _) in enumerate(own) if used + size <= target]
+        if fits:
+            used, held = own[fits[0]]
+            own[fits[0]] = (used + size, [*held, path])
+        else:
+            own.append((size, [path]))
+    return [held for own in bins.values() for _, held in own if len(held) > 1]
+
+
 def compact(
     spark: SparkSession, root: str, source: str, day: str, schema: StructType | None = None,
-    now: datetime | None = None,
+    now: datetime | None = None, small_bytes: int = 64 << 20, target_bytes: int = 128 << 20,
 ) -> dict[str, int]:
-    """Rewrite one closed day into few files per hour, leaving the rows as they are.
+    """Fold the small files of a closed day into few, leaving the rows as they are.
 
-    The day is written to a staging path, compared with the original by count and row
-    hashes, and only then put in its place by dynamic partition overwrite. Piece sizes
-    follow spark.sql.adaptive.advisoryPartitionSizeInBytes.
+    Files of ``small_bytes`` and more are not read. Small ones are put together by size, each bin
+    is written as one file, compared with its rows before by count and row hashes, and the new list of
+    files becomes the day's next version. Readers have the old list or the new one; the old files stay for those
+    that read them, until ``clean``. Of two at once, one wins and the other raises.
     """
     if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", day):
         raise ValueError(f"not a day: {day!r}")
@@ -161,45 +275,59 @@ def compact(
     today = (moment.astimezone(timezone.utc) if moment.tzinfo else moment).date()
     if day >= today.isoformat():
         raise ValueError(f"{day} is still being written")
-    base = schema or SCHEMAS[source]
-    full = StructType([*base.fields, *_PARTS])
-    target = f"{root}/{source}"
-    before = spark.read.schema(full).parquet(target).filter(F.col("date") == day)
-    files = before.select("_metadata.file_path").distinct().count()
-    stage = f"{root}/_staging/{source}-{uuid.uuid4().hex[:12]}"
-    order = [c for c in ("ingested_at",) if c in before.columns]
-    (
-        before.hint("rebalance", "date", "hour")
-        .sortWithinPartitions("date", "hour", *order)
-        .write.partitionBy("date", "hour").option("compression", "zstd").parquet(stage)
-    )
-    staged = spark.read.schema(full).parquet(stage)
-    want, got = content_fingerprint(before), content_fingerprint(staged)
+    full, target = StructType([*(schema or SCHEMAS[source]).fields, *_PARTS]), f"{root}/{source}"
+    version, batches, files = _day_state(spark, target, day)
+    bins = _bins(files, small_bytes, target_bytes)
+    done = {"rows": 0, "files_before": len(files), "files_after": len(files), "bytes_rewritten": 0}
+    if not bins:
+        return done
+    old = [f for held in bins for f in held]
+    token = f"{day}-{uuid.uuid4().hex}"
+    before = _read_files(spark, target, full, old)
+    # One row for each file; every bin goes to one task, and holds target_bytes at most.
+    place = spark.createDataFrame([(f.rsplit("/", 1)[-1], i) for i, held in enumerate(bins) for f in held], "__file string, __bin int")
+    reader = spark.read.schema(full).option("basePath", target).parquet(*[f"{target}/{f}" for f in old])
+    binned = reader.select(*full.names, F.col("_metadata.file_name").alias("__file")).join(F.broadcast(place), "__file").repartition(len(bins), "__bin")
+    added = _write_files(binned.select(*full.names), target, token, "ingested_at").get(day, [])
+    want, got = content_fingerprint(before), content_fingerprint(_read_files(spark, target, full, [f for f, _ in added]))
+    fs, own = _fs(spark, f"{target}/{_BATCH}={token}")
     if want != got:
+        fs.delete(own, True)
         raise RuntimeError(f"compaction of {source} {day} would change its rows: {want} != {got}")
-    (
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd").partitionBy("date", "hour").parquet(target)
-    )
-    fs, done = _fs(spark, stage)
-    fs.delete(done, True)
-    after = spark.read.schema(full).parquet(target).filter(F.col("date") == day)
-    return {
-        "rows": want[0], "files_before": files,
-        "files_after": after.select("_metadata.file_path").distinct().count(),
-    }
+    gone = set(old)
+    live = [*[(f, n) for f, n in files.items() if f not in gone], *added]
+    if not _put(spark, f"{target}/{_LEDGER}/date={day}/v{version + 1}.json", json.dumps({"files": live, "folded": batches})):
+        fs.delete(own, True)
+        raise RuntimeError(f"{source} {day} has been compacted by another run meanwhile")
+    return {"rows": want[0], "files_before": len(files), "files_after": len(live), "bytes_rewritten": sum(n for _, n in added)}
+
+
+def clean(spark: SparkSession, root: str, source: str, day: str) -> int:
+    """Delete the files that the day's latest version has replaced; how many. For when no reader of older versions is left."""
+    target = f"{root}/{source}"
+    # Batches that are being written are not in the ledger yet; only what a manifest names is deleted.
+    gone = _ever(spark, target, day) - set(_day_state(spark, target, day)[2])
+    fs, _ = _fs(spark, target)
+    return sum(bool(fs.delete(_fs(spark, f"{target}/{f}")[1], False)) for f in sorted(gone))
+
+
+def _ever(spark: SparkSession, target: str, day: str) -> set[str]:
+    """All files that any manifest of the day has named."""
+    folder = f"{target}/{_LEDGER}/date={day}"
+    return {f for n in _names(spark, folder) if n.endswith(".json") for f, _ in json.loads(_get(spark, f"{folder}/{n}"))["files"]}
 
 
 def drop_before(spark: SparkSession, root: str, source: str, day: str) -> list[str]:
-    """Retention: remove the closed partitions older than ``day``; returns their dates."""
-    fs, p = _fs(spark, f"{root}/{source}")
-    gone = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("date=") and name[5:] < day:
-            fs.delete(st.getPath(), True)
-            gone.append(name[5:])
-    return sorted(gone)
+    """Retention: remove the closed days older than ``day``, first from the ledger; returns their dates."""
+    target = f"{root}/{source}"
+    days = [n[5:] for n in _names(spark, f"{target}/{_LEDGER}") if n.startswith("date=") and n[5:] < day]
+    for d in days:
+        named = _ever(spark, target, d)
+        fs, folder = _fs(spark, f"{target}/{_LEDGER}/date={d}")
+        fs.delete(folder, True)
+        for f in named:
+            fs.delete(_fs(spark, f"{target}/{f}")[1], False)
+    return days
 
 
 def overwrite_days(df: DataFrame, path: str, ts: str, day: str = "date") -> None:

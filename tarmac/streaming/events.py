@@ -1,13 +1,17 @@
 """Go-around and hold alerts on a stream of track points.
 
 State is kept per aircraft and time bucket, with the same halo copies as in batch, so
-the backlog of a busy aircraft spreads over tasks and old buckets can be dropped.
-Points wait in state until the watermark has passed them, then the rules walk them in
-time order. State of a bucket holds at most one bucket and its lookback.
+the backlog of a busy aircraft spreads over tasks and old buckets can be dropped. Points
+wait in state until the watermark has passed them, which a timer every ``tick_s`` seconds of event time
+looks after; the rules then go on in time order from where they stood. An alert so comes out when
+the watermark is past its point, not when its bucket ends. State of a bucket holds the points
+that the watermark has not passed, and what the rules remember: a few values and the
+points of one hold window.
 """
 
 from __future__ import annotations
 
+import json
 from collections import deque
 from collections.abc import Iterator
 from typing import Any
@@ -20,110 +24,151 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from tarmac.config import DEFAULT, Thresholds
 from tarmac.operators.ordered import BUCKET, HOME, with_halo
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: A query with these alerts is started with these settings (see ``flows.start``).
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
 
 POINT = (
-    "ts timestamp, sec double, airport string, dist_nm double, alt_ft double, agl_ft double, "
+    "us bigint, airport string, dist_nm double, alt_ft double, agl_ft double, "
     "vertical_rate_ms double, true_track_deg double, on_ground boolean, own boolean"
 )
+_FIELDS = [f.split()[0] for f in POINT.split(", ")]
 OUTPUT = "kind string, airport string, icao24 string, ts timestamp, since timestamp"
 
 
+def _when(us: int) -> pd.Timestamp:
+    return pd.Timestamp(us, unit="us", tz="UTC")
+
+
 def _wrap(turn: float) -> float:
     return (turn + 180.0) % 360.0 - 180.0
 
 
 class Watch:
-    """The two rules over one aircraft, fed point by point in time order."""
+    """The two rules over one aircraft, fed point by point in time order. Times are microseconds."""
+
+    #: What the rules remember between points; all of it is plain numbers and text.
+    MEMORY = ("prev", "near_prev", "low", "ground", "climb", "fired", "turned", "loose")
 
-    def __init__(self, t: Thresholds) -> None:
+    def __init__(self, t: Thresholds, memory: str | None = None) -> None:
         self.t = t
-        self.prev: dict[str, Any] | None = None
-        self.near_prev: dict[str, Any] | None = None
-        self.low: tuple[float, float, str, Any] | None = None
+        self.prev: list | None = None  # us, distance, airport, climb rate
+        self.near_prev: list | None = None  # us, heading
+        self.low: list | None = None  # us, height, airport
         self.ground = self.climb = self.fired = None
-        self.recent: deque[dict[str, Any]] = deque()
-
-    def feed(self, p: dict[str, Any]) -> Iterator[tuple[str, str, Any, Any]]:
+        self.recent: deque[list] = deque()  # us, altitude, turn, whether the gap before is too long
+        self.turned, self.loose = 0.0, 0  # sums over ``recent`` but for its first point
+        if memory is not None:
+            held = json.loads(memory)
+            self.recent.extend(held.pop("recent"))
+            self.__dict__.update(held)
+
+    def memory(self) -> str:
+        return json.dumps({**{k: getattr(self, k) for k in self.MEMORY}, "recent": list(self.recent)})
+
+    def feed(self, p: dict[str, Any]) -> Iterator[tuple[str, str, int, int]]:
+        """(kind, airport, us, since) of the alerts at this point."""
         yield from self._go_around(p)
         if p["dist_nm"] <= self.t.hold_nm:
             yield from self._hold(p)
 
-    def _go_around(self, p: dict[str, Any]) -> Iterator[tuple[str, str, Any, Any]]:
-        t, prev, sec = self.t, self.prev, p["sec"]
-        if prev is not None and sec - prev["sec"] > t.segment_gap_s:
+    def _go_around(self, p: dict[str, Any]) -> Iterator[tuple[str, str, int, int]]:
+        t, prev, us, vr = self.t, self.prev, p["us"], p["vertical_rate_ms"]
+        if prev is not None and us - prev[0] > t.segment_gap_s * 1_000_000:
             prev = None
-        self.prev = p
-        vr = p["vertical_rate_ms"]
+        self.prev = [us, p["dist_nm"], p["airport"], vr]
         approach = (
-            prev is not None and prev["airport"] == p["airport"] and vr is not None
+            prev is not None and prev[2] == p["airport"] and vr is not None
             and p["dist_nm"] <= t.approach_nm and vr < t.approach_descent_ms
-            and p["alt_ft"] < t.approach_max_alt_ft and p["dist_nm"] < prev["dist_nm"]
+            and p["alt_ft"] is not None and p["alt_ft"] < t.approach_max_alt_ft and p["dist_nm"] < prev[1]
         )
-        if approach and p["dist_nm"] <= t.field_nm and p["agl_ft"] < t.low_agl_ft:
-            self.low = (sec, p["agl_ft"], p["airport"], p["ts"])
+        height = p["agl_ft"]
+        if approach and p["dist_nm"] <= t.field_nm and height is not None and height < t.low_agl_ft:
+            self.low = [us, height, p["airport"]]
         if p["on_ground"]:
-            self.ground = sec
+            self.ground = us
         if vr is None or vr <= t.climb_ms:
             return
-        if prev is None or prev["vertical_rate_ms"] is None or prev["vertical_rate_ms"] <= t.climb_ms:
-            self.climb = sec
+        if prev is None or prev[3] is None or prev[3] <= t.climb_ms:
+            self.climb = us
         low = self.low
         if (
-            low is not None and low[2] == p["airport"] and sec - low[0] <= t.go_around_horizon_s
+            low is not None and low[2] == p["airport"] and us - low[0] <= t.go_around_horizon_s * 1_000_000
             and (self.ground is None or self.ground < low[0]) and self.climb is not None
-            and sec - self.climb >= t.climb_sustain_s and p["agl_ft"] - low[1] > t.regain_ft
+            and us - self.climb >= t.climb_sustain_s * 1_000_000 and height is not None and height - low[1] > t.regain_ft
         ):
             again = self.fired is not None and self.fired >= self.climb
-            self.fired = sec
+            self.fired = us
             if not again:
-                yield "go-around", p["airport"], p["ts"], low[3]
-
-    def _hold(self, p: dict[str, Any]) -> Iterator[tuple[str, str, Any, Any]]:
-        t, prev, sec = self.t, self.near_prev, p["sec"]
-        self.near_prev = p
-        gap = None if prev is None else sec - prev["sec"]
-        known = gap is not None and gap <= t.segment_gap_s
-        turn = _wrap(p["true_track_deg"] - prev["true_track_deg"]) if known and None not in (p["true_track_deg"], prev["true_track_deg"]) else 0.0
-        self.recent.append({"sec": sec, "alt": p["alt_ft"], "turn": turn, "gap": gap, "ts": p["ts"]})
-        while self.recent[0]["sec"] < sec - t.hold_window_s:
+                yield "go-around", p["airport"], us, low[0]
+
+    def _hold(self, p: dict[str, Any]) -> Iterator[tuple[str, str, int, int]]:
+        t, prev, us, heading = self.t, self.near_prev, p["us"], p["true_track_deg"]
+        self.near_prev = [us, heading]
+        gap = None if prev is None else us - prev[0]
+        known = gap is not None and gap <= t.segment_gap_s * 1_000_000
+        turn = _wrap(heading - prev[1]) if known and heading is not None and prev[1] is not None else 0.0
+        loose = int(gap is None or gap > t.max_sample_gap_s * 1_000_000)
+        if self.recent:  # the first point's own turn and gap lie before the window
+            self.turned += turn
+            self.loose += loose
+        self.recent.append([us, p["alt_ft"], turn, loose])
+        while self.recent[0][0] < us - t.hold_window_s * 1_000_000:
             self.recent.popleft()
-        frame = list(self.recent)
-        inner = frame[1:]
-        if not inner or any(f["gap"] is None or f["gap"] > t.max_sample_gap_s for f in inner):
+            self.turned -= self.recent[0][2]
+            self.loose -= self.recent[0][3]
+        if abs(abs(self.turned) - t.hold_turn_deg) < 1e-6 or len(self.recent) < 2:
+            # Close to the limit the sum is taken anew, since a running one gathers rounding.
+            self.turned = sum(x[2] for x in list(self.recent)[1:])
+        if len(self.recent) < 2 or self.loose or abs(self.turned) < t.hold_turn_deg:
             return
-        alts = [f["alt"] for f in frame]
-        if abs(sum(f["turn"] for f in inner)) >= t.hold_turn_deg and max(alts) - min(alts) <= 2 * t.hold_alt_band_ft:
-            yield "hold", p["airport"], p["ts"], frame[0]["ts"]
+        heights = [x[1] for x in self.recent if x[1] is not None]
+        if heights and max(heights) - min(heights) <= 2 * t.hold_alt_band_ft:
+            yield "hold", p["airport"], us, self.recent[0][0]
 
 
 class Alerts(StatefulProcessor):
-    def __init__(self, t: Thresholds) -> None:
-        self.t = t
+    def __init__(self, t: Thresholds, width_s: int, tick_s: int) -> None:
+        self.t, self.width_s, self.tick_s = t, width_s, tick_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", POINT)
+        self.rules = handle.getValueState("rules", "memory string")
+
+    def _end(self, key: Any) -> int:
+        return (int(key[1]) + 1) * self.width_s * 1000
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        # A bucket is walked once, when the watermark has passed all of it: one timer.
-        end = (int(key[1]) + 1) * max(self.t.bucket_s, self.t.segment_gap_s)
-        fields = [f.split()[0] for f in POINT.split(", ")]
+        tick, due = self.tick_s * 1_000_000, set()
         for pdf in rows:
-            clean = pdf[fields].astype(object).where(pdf[fields].notna(), None)
+            clean = pdf[_FIELDS].astype(object).where(pdf[_FIELDS].notna(), None)
             self.waiting.appendList([tuple(r) for r in clean.itertuples(index=False, name=None)])
-        self.handle.registerTimer(end * 1000)
+            due.update((-(-pdf["us"] // tick) * self.tick_s * 1000).unique().tolist())
+        # One timer for each tick that has points, and one for the end of the bucket.
+        for at in {*due, self._end(key)}:
+            self.handle.registerTimer(int(at))
         yield from ()
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        fields = [f.split()[0] for f in POINT.split(", ")]
-        points = sorted((dict(zip(fields, r, strict=True)) for r in self.waiting.get()), key=lambda p: p["sec"])
-        self.waiting.clear()
-        watch = Watch(self.t)
-        out = [
-            (kind, airport, key[0], ts, since)
-            for p in points for kind, airport, ts, since in watch.feed(p) if p["own"]
-        ]
+        # No point up to the watermark can come any more.
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        points = sorted((dict(zip(_FIELDS, r, strict=True)) for r in self.waiting.get()), key=lambda p: p["us"])
+        ready = [p for p in points if p["us"] <= passed]
+        out = []
+        if ready:
+            watch = Watch(self.t, self.rules.get()[0] if self.rules.exists() else None)
+            out = [
+                (kind, airport, key[0], _when(us), _when(since))
+                for p in ready for kind, airport, us, since in watch.feed(p) if p["own"]
+            ]
+            self.rules.update((watch.memory(),))
+            left = [tuple(p[f] for f in _FIELDS) for p in points[len(ready) :]]
+            self.waiting.put(left) if left else self.waiting.clear()
+        if passed >= self._end(key) * 1000:
+            self.waiting.clear()
+            self.rules.clear()
         if out:
             yield pd.DataFrame(out, columns=["kind", "airport", "icao24", "ts", "since"])
 
@@ -131,10 +176,11 @@ class Alerts(StatefulProcessor):
         pass
 
 
-def stream_events(points: DataFrame, t: Thresholds = DEFAULT, delay: str = "15 minutes") -> DataFrame:
+def stream_events(points: DataFrame, t: Thresholds = DEFAULT, delay: str = "15 minutes", tick_s: int = 60) -> DataFrame:
     """Alerts (kind, airport, icao24, ts, since): one per go-around, one per holding point.
 
-    Holding points of one pattern are merged downstream, as in batch.
+    An alert comes out with the first micro-batch whose watermark is at most ``tick_s`` past its
+    point. Holding points of one pattern are merged downstream, as in batch.
     """
     width = max(t.bucket_s, t.go_around_horizon_s + t.segment_gap_s)
     # As in batch: every point that a rule reads must see the point before it.
@@ -142,9 +188,9 @@ def stream_events(points: DataFrame, t: Thresholds = DEFAULT, delay: str = "15 m
     late = points.withWatermark("ts", delay)
     halo = with_halo(late, "ts", width_s=width, lookback_s=back)
     rows = halo.select(
-        "icao24", F.col(BUCKET), "ts", (F.unix_micros("ts") / 1_000_000).alias("sec"), "airport", "dist_nm",
+        "icao24", F.col(BUCKET), "ts", F.unix_micros("ts").alias("us"), "airport", "dist_nm",
         "alt_ft", "agl_ft", "vertical_rate_ms", "true_track_deg", "on_ground", (F.col(BUCKET) == F.col(HOME)).alias("own"),
     )
     return rows.groupBy("icao24", BUCKET).transformWithStateInPandas(
-        statefulProcessor=Alerts(t), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime"
+        statefulProcessor=Alerts(t, width, tick_s), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime"
     )

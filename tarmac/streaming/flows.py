@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac.operators.dedupe import with_hash
 from tarmac.schemas import SCHEMAS
+from tarmac.session import settings
 from tarmac.sources.lake import exists, overwrite_days
 
 
@@ -68,8 +69,9 @@ def stream_segments(
 def start(
     df: DataFrame, checkpoint: str, *, path: str | None = None,
     each_batch: Callable[[DataFrame, int], None] | None = None, mode: str = "append", once: bool = True,
+    conf: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """Start a query that resumes from its checkpoint.
+    """Start a query that resumes from its checkpoint, with ``conf`` for it alone.
 
     A file sink commits each batch as a whole, so a restart loses at most the batch in
     flight and leaves no partial file.
@@ -77,11 +79,12 @@ def start(
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if once:
         writer = writer.trigger(availableNow=True)
-    if each_batch is not None:
-        return writer.foreachBatch(each_batch).start()
-    if path is None:
+    if each_batch is None and path is None:
         raise ValueError("either path or each_batch is needed")
-    return writer.format("parquet").option("path", path).start()
+    with settings(df.sparkSession, conf or {}):
+        if each_batch is not None:
+            return writer.foreachBatch(each_batch).start()
+        return writer.format("parquet").option("path", path).start()
 
 
 def run_to_end(query: StreamingQuery) -> None:

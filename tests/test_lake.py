@@ -69,13 +69,112 @@ def test_compaction(spark, tmp_path):
     for i in range(4):
         lake.append_bronze(batch(spark, 5, at + timedelta(minutes=i)), root, "faa_status")
     lake.append_bronze(batch(spark, 5, at + timedelta(days=1)), root, "faa_status")
-    before = lake.content_fingerprint(lake.read_layer(spark, root, "faa_status"))
+    reader = lake.read_layer(spark, root, "faa_status")
+    before = lake.content_fingerprint(reader)
     done = lake.compact(spark, root, "faa_status", "2026-08-07", now=datetime(2026, 8, 9))
-    assert done == {"rows": 20, "files_before": 4, "files_after": 1}
+    assert (done["rows"], done["files_before"], done["files_after"]) == (20, 4, 1) and done["bytes_rewritten"] > 0
+    assert lake.content_fingerprint(lake.read_layer(spark, root, "faa_status")) == before
+    # A frame made before still reads the files that it was made from; afterwards they can go.
+    assert lake.content_fingerprint(reader) == before
+    assert lake.clean(spark, root, "faa_status", "2026-08-07") == 4 and len(files(root)) == 2
     assert lake.content_fingerprint(lake.read_layer(spark, root, "faa_status")) == before
     with pytest.raises(ValueError, match="still being written"):
         lake.compact(spark, root, "faa_status", "2026-08-09", now=datetime(2026, 8, 9))
     assert lake.drop_before(spark, root, "faa_status", "2026-08-08") == ["2026-08-07"]
+    assert lake.read_layer(spark, root, "faa_status").count() == 5 and len(files(root)) == 1
+
+
+def test_compaction_leaves_large_files(spark, tmp_path):
+    root, at = str(tmp_path), datetime(2026, 8, 7, 7, 32)
+    for n in (2000, 3, 3, 3):
+        lake.append_bronze(batch(spark, n, at), root, "faa_status")
+    large = max(files(root), key=os.path.getsize)
+    small = sum(os.path.getsize(f) for f in files(root) if f != large)
+    limit = os.path.getsize(large)
+    done = lake.compact(spark, root, "faa_status", "2026-08-07", now=datetime(2026, 8, 9), small_bytes=limit)
+    assert (done["rows"], done["files_before"], done["files_after"]) == (9, 4, 2) and done["bytes_rewritten"] < small
+    live = lake._day_state(spark, f"{root}/faa_status", "2026-08-07")[2]
+    assert any(large.endswith(f) for f in live)
+    again = lake.compact(spark, root, "faa_status", "2026-08-07", now=datetime(2026, 8, 9), small_bytes=limit)
+    assert again == {"rows": 0, "files_before": 2, "files_after": 2, "bytes_rewritten": 0}
+    # Rows that arrive for the day later are read beside its version, and folded by the next one.
+    lake.append_bronze(batch(spark, 4, at), root, "faa_status")
+    assert lake.read_layer(spark, root, "faa_status").count() == 2013
+    done = lake.compact(spark, root, "faa_status", "2026-08-07", now=datetime(2026, 8, 9), small_bytes=limit)
+    assert (done["rows"], done["files_after"]) == (13, 2) and lake.read_layer(spark, root, "faa_status").count() == 2013
+
+
+def test_two_compactions_at_once(spark, tmp_path, monkeypatch):
+    root, at = str(tmp_path), datetime(2026, 8, 7, 7, 32)
+    for _ in range(3):
+        lake.append_bronze(batch(spark, 5, at), root, "faa_status")
+    inner, calls = lake.content_fingerprint, []
+
+    def meanwhile(df):
+        if not calls:
+            calls.append(1)
+            lake.compact(spark, root, "faa_status", "2026-08-07", now=datetime(2026, 8, 9))
+        return inner(df)
+
+    monkeypatch.setattr(lake, "content_fingerprint", meanwhile)
+    with pytest.raises(RuntimeError, match="another run"):
+        lake.compact(spark, root, "faa_status", "2026-08-07", now=datetime(2026, 8, 9))
+    assert lake.read_layer(spark, root, "faa_status").count() == 15
+
+
+def test_a_batch_counts_once(spark, tmp_path):
+    root, at = str(tmp_path), datetime(2026, 8, 7, 23, 59)
+    rows = batch(spark, 3, at).unionByName(batch(spark, 4, at + timedelta(hours=1)))
+    assert lake.append_bronze(rows, root, "faa_status", batch="feed-0").rows == 7
+    assert lake.append_bronze(rows, root, "faa_status", batch="feed-0") == lake.WriteResult(0, 0)
+    assert lake.read_layer(spark, root, "faa_status").count() == 7
+    # Cut off after the first of its days was entered.
+    for entry in ("_done/feed-0", "date=2026-08-08/feed-0.json"):
+        fs, path = lake._fs(spark, f"{root}/faa_status/_ledger/{entry}")
+        assert fs.delete(path, False)
+    assert lake.read_layer(spark, root, "faa_status").count() == 3
+    lake.append_bronze(rows, root, "faa_status", batch="feed-0")
+    assert lake.read_layer(spark, root, "faa_status").count() == 7
+    with pytest.raises(ValueError, match="name for a batch"):
+        lake.append_bronze(rows, root, "faa_status", batch="v1")
+
+
+def test_the_source_is_read_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = batch(spark, 50, datetime(2026, 8, 7, 7))
+    got = lake.append_bronze(df.mapInArrow(counted, df.schema), str(tmp_path), "faa_status")
+    assert got.rows == 50 and read.value == 50
+
+
+def test_stream_killed_between_write_and_checkpoint(spark, tmp_path):
+    root, landing = str(tmp_path / "lake"), str(tmp_path / "in")
+    schema = SCHEMAS["faa_status"]
+    for i in range(3):
+        batch(spark, 4 + i, datetime(2026, 8, 7, 5 + i)).coalesce(1).write.mode("append").parquet(landing)
+    write, failed = lake.batch_writer(root, "faa_status", "feed"), []
+
+    def killed(df, batch_id):
+        write(df, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("killed after the write")
+
+    def run():
+        src = flows.stream_landing(spark, landing, schema, files_per_trigger=1)
+        flows.run_to_end(flows.start(src, str(tmp_path / "checkpoint"), each_batch=killed))
+
+    with pytest.raises(Exception, match="killed after the write"):
+        run()
+    assert lake.read_layer(spark, root, "faa_status").count() == 9
+    run()
+    assert failed == [1] and lake.read_layer(spark, root, "faa_status").count() == 15
+    assert lake.read_layer(spark, root, "faa_status").groupBy("hour").count().count() == 3
 
 
 def test_airports(spark):

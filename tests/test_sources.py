@@ -219,3 +219,30 @@ def test_faa_records_of_any_wrapper(spark):
     assert got[0]["raw_xml"].startswith("<Ground_Stop>") and got[1]["raw_xml"].endswith("</Item>")
     assert faa.unseen_records(land(spark, doc), faa.parse_faa(land(spark, doc))).count() == 0
     assert faa.parse_faa(land(spark, "<!doctype x>" + doc)).count() == 0
+
+
+def test_faa_reads_the_tree_not_the_text(spark):
+    hidden = "<!-- <Delay_type><Name>Airport Closures</Name><A><ARPT>ZZZ</ARPT></A></Delay_type> -->"
+    doc = notice(("Ground Stop Programs", "<L><P><Detail><Item><ARPTS>no</ARPTS></Item></Detail><ARPT code='x &gt; y'>jfk</ARPT><Reason><![CDATA[a < b]]></Reason></P></L>"))
+    doc = doc.replace("<Delay_type>", hidden + '<Delay_type id="1 > 0">') .replace("</AIRPORT", "<Delay_type><Name>Airport Closures</Name><Q><W><Arpt>EWR</Arpt><Start>s<!-- c -->t</Start></W></Q></Delay_type></AIRPORT")
+    df = land(spark, doc)
+    got = faa.parse_faa(df).orderBy("airport").collect()
+    assert [(r["airport"], r["event_type"], r["reason"], r["start_text"]) for r in got] == [("EWR", "closure", None, "st"), ("JFK", "ground_stop", "a < b", None)]
+    assert got[1]["raw_xml"].startswith("<P><Detail>") and "a &lt; b" in got[1]["raw_xml"] and got[1]["raw_xml"].endswith("</P>")
+    assert faa.unseen_records(df, faa.parse_faa(df)).count() == 0
+    assert faa.unreadable_faa(df).count() == 0
+
+
+def test_faa_names_what_it_did_not_read(spark):
+    odd = notice(("Airport Closures", '<L><P><arpt a="1">JFK</arpt></P><n:P xmlns:n="u"><n:ARPT>EWR</n:ARPT></n:P><P><ARPT> </ARPT></P></L>'))
+    df = land(spark, odd)
+    parsed = faa.parse_faa(df)
+    assert parsed.count() == 0
+    assert [(r["named"], r["parsed"]) for r in faa.unseen_records(df, parsed).collect()] == [(2, 0)]
+
+
+def test_faa_odd_bodies(spark):
+    deep = "<x>" * 300 + "<ARPT>JFK</ARPT>" + "</x>" * 300
+    df = land(spark, None, "", "<a>", notice(("Deicing", deep)), notice())
+    assert faa.parse_faa(df).count() == 1 and faa.unreadable_faa(df).count() == 3
+    assert faa.parse_faa(df.limit(0)).count() == 0 and faa.unseen_records(df.limit(0), faa.parse_faa(df.limit(0))).count() == 0

@@ -145,21 +145,63 @@ def test_track_points_use_elevation_and_pressure(spark, airports):
     assert got["c"]["agl_ft"] == pytest.approx(1640.42 - 13, abs=0.1)
 
 
-def test_streamed_rules_agree_with_batch(spark, points):
-    """The point-by-point rules of the stream, fed directly."""
+def streamed(rows, t, forget):
+    """Alerts of the stream's rules, fed point by point; with ``forget`` from their stored memory alone."""
     from tarmac.streaming.events import Watch
 
-    t = Thresholds()
     fired = []
-    cols = points.withColumn("sec", F.unix_micros("ts") / 1_000_000).orderBy("icao24", "sec").collect()
-    for name in sorted({r["icao24"] for r in cols}):
+    for name in sorted({r["icao24"] for r in rows}):
         watch = Watch(t)
-        for r in cols:
+        for r in rows:
             if r["icao24"] == name:
-                fired += [(kind, name, ts) for kind, _, ts, _ in watch.feed(r.asDict())]
-    batch = [("go-around", r["icao24"], r["ts"]) for r in tracks.go_arounds(points, t).collect()]
-    batch += [("hold", r["icao24"], r["ts"]) for r in tracks.hold_points(points, t).filter("holding").collect()]
-    assert sorted(fired) == sorted(batch)
+                fired += [(kind, name, us) for kind, _, us, _ in watch.feed(r.asDict())]
+                watch = Watch(t, watch.memory()) if forget else watch
+    return sorted(fired)
+
+
+def batch_alerts(points, t):
+    us = F.unix_micros("ts").alias("us")
+    found = [("go-around", r["icao24"], r["us"]) for r in tracks.go_arounds(points, t).select("icao24", us).collect()]
+    return sorted(found + [("hold", r["icao24"], r["us"]) for r in tracks.hold_points(points, t).filter("holding").select("icao24", us).collect()])
+
+
+@pytest.mark.parametrize("forget", [False, True])
+def test_streamed_rules_agree_with_batch(spark, points, forget):
+    rows = points.withColumn("us", F.unix_micros("ts")).orderBy("icao24", "us").collect()
+    assert streamed(rows, Thresholds(), forget) == batch_alerts(points, Thresholds())
+
+
+def test_alerts_come_when_the_watermark_has_passed_them(spark, points, tmp_path):
+    """Many micro-batches: same alerts as batch, each soon after its point; state does not outlive its bucket."""
+    from tarmac.streaming import events, flows
+
+    t, every, delay = Thresholds(), 150, 300
+    late = spark.createDataFrame([("late", T0 - timedelta(hours=9), "KJFK", 1.0, 900.0, 900.0, 9.0, 180.0, 70.0, False)], POINT)
+    ends = points.agg(F.max("ts")).first()[0] + timedelta(hours=12)
+    # The last delivery moves the watermark on, past every bucket.
+    far = spark.createDataFrame([("far", ends, "KJFK", 1.0, 900.0, 900.0, 0.0, 180.0, 70.0, False)], POINT)
+    slot = F.floor(F.unix_seconds("ts") / every)
+    slots = [r[0] for r in points.select(slot).distinct().orderBy(slot).collect()]
+    deliveries = [points.where(slot == s) for s in slots]
+    deliveries[5] = deliveries[5].unionByName(late)  # far behind the watermark: dropped
+    clock, emitted, kept = [], [], []
+
+    def note(df, batch_id):
+        emitted.extend((batch_id, r["kind"], r["icao24"], r["us"]) for r in df.select("kind", "icao24", F.unix_micros("ts").alias("us")).collect())
+
+    for i, d in enumerate([*deliveries, far]):
+        d.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        clock.append(d.where("icao24 <> 'late'").agg(F.max(F.unix_micros("ts"))).first()[0])
+        before = len(emitted)
+        src = flows.stream_landing(spark, f"{tmp_path}/in", points.schema, files_per_trigger=1)
+        query = flows.start(events.stream_events(src, t, f"{delay} seconds"), f"{tmp_path}/checkpoint", each_batch=note, conf=events.STATE_STORE)
+        flows.run_to_end(query)
+        kept.append(sum(o["numRowsTotal"] for p in query.recentProgress[-1:] for o in p["stateOperators"]))
+        for _, kind, name, us in emitted[before:]:
+            # Nothing waits for its bucket of two hours: an alert is out within two delays and one delivery.
+            assert i == len(deliveries) or clock[i] - us <= (2 * delay + every + 60) * 1_000_000, (kind, name)
+    assert sorted(e[1:] for e in emitted) == batch_alerts(points, t)
+    assert len(slots) > 15 and max(kept) > 10 * kept[-1]
 
 
 def test_go_around_is_found_wherever_the_bucket_ends(spark, airports):
