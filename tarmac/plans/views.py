@@ -233,7 +233,7 @@ VIEWS: dict[str, str] = {
     "v_text": f"""
         SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, value,
           {pick('event_id', ['CAST(1700000000 + event_id AS STRING)', q('true'), q('abc'), None, 'CAST(1700000000 + event_id AS STRING) || chr(46) || chr(53)'])} AS epoch_text,
-          {pick('event_id', [q('DLH9LF  '), q('   '), 'chr(9) || CAST(event_id AS STRING) || chr(10)', None])} AS callsign_text,
+          {pick('event_id', [q('QXA17K  '), q('   '), 'chr(9) || CAST(event_id AS STRING) || chr(10)', None])} AS callsign_text,
           {pick('event_id', [None if v is None else q(v) for v in VISIBILITY])} AS vis_text,
           {pick('event_id', [q('VRB'), q(' vrb '), q('270'), q('090'), None, q('360')])} AS wdir_text,
           {pick('event_id', [q('KJFK VRB04KT 10SM'), q('KJFK 27010KT'), None])} AS raw_text,
@@ -242,7 +242,7 @@ VIEWS: dict[str, str] = {
           {pick('event_id', [q('Ground Stop Programs'), q('Ground Delay Programs'), q('Airport Closures'), q('Airspace Flow Programs'), q('Arrival/Departure Delays'), q('Deicing'), q('Volcano Watch'), None])} AS section,
           {pick('event_id', [q('-RA'), q('+SN'), q('BR'), q('HZ'), None, q('TSRA'), q('FZDZ')])} AS wx_string,
           {pick('event_id', [q('45 minutes'), q('1 hour and 15 minutes'), q('2 hours'), None, q('unknown'), "CAST(event_id % 90 AS STRING) || ' min'"])} AS delay_text,
-          '!LAX 05/277 CLSD 310-258-9884 ' || '26' || lpad(CAST(1 + event_id % 12 AS STRING), 2, '0') || lpad(CAST(1 + event_id % 28 AS STRING), 2, '0')
+          '!SEA 11/042 CLSD 555-010-0147 ' || '26' || lpad(CAST(1 + event_id % 12 AS STRING), 2, '0') || lpad(CAST(1 + event_id % 28 AS STRING), 2, '0')
             || lpad(CAST(event_id % 24 AS STRING), 2, '0') || '26-27' || lpad(CAST(1 + event_id % 12 AS STRING), 2, '0') || '281600' AS notam_text,
           substr('{MONTHS}', CAST(1 + 3 * (event_id % 12) AS INT), 3) || ' ' || lpad(CAST(1 + event_id % 28 AS STRING), 2, '0')
             || ' at ' || lpad(CAST(event_id % 24 AS STRING), 2, '0') || ':30 UTC.' AS notice_text

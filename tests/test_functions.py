@@ -53,7 +53,7 @@ def test_ceiling(spark):
 
 
 def test_text(spark):
-    assert many(spark, text.clean_callsign, ["DLH9LF  ", "   ", "\tX\n", None]) == ["DLH9LF", None, "X", None]
+    assert many(spark, text.clean_callsign, ["QXA17K  ", "   ", "\tX\n", None]) == ["QXA17K", None, "X", None]
     assert many(spark, text.clean_text, [" 'Boeing' ", '"A320"', "''", " ", "a'b"]) == ["Boeing", "A320", None, None, "a'b"]
     assert many(spark, text.built_year, ["2011", "2011-05-14", "", "n/a", "0003", "2101", "'1999'"]) == [2011, 2011, None, None, None, None, 1999]
     assert many(spark, text.delay_minutes, ["45 minutes", "1 hour and 15 minutes", "2 hours", "soon", None]) == [45, 75, 120, None, None]
@@ -117,7 +117,7 @@ def test_times(spark):
 def test_notice_times(spark):
     df = spark.createDataFrame(
         [
-            ("May 27 at 18:26 UTC.", "May 28 at 16:00 UTC.", "!LAX 05/277 TEL 310-258-9884 2605271826-2705281600"),
+            ("May 27 at 18:26 UTC.", "May 28 at 16:00 UTC.", "!SEA 11/042 TEL 555-010-0147 2605271826-2705281600"),
             ("Aug 08 at 02:00 UTC.", "18:00", "no group"),
             ("Dec 30 at 01:00 UTC.", "Feb 29 at 01:00 UTC.", None),
         ],
