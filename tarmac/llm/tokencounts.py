@@ -3,11 +3,12 @@
 Totals by source, language and tokenizer version are additive: a batch of signed rows (insert +1,
 delete -1, a revised count as one of each) is summed to one row for each group and written as a
 delta under the batch's name. A delta counts once its writer has marked it complete, and a name
-that is complete is not written again, so a batch may be sent any number of times. Totals are the
-sum of all deltas; ``compact`` folds them into one and remembers the names.
+that is complete is not written again, so a batch may be sent any number of times (by one writer at a
+time). Totals are the sum of all deltas; ``compact`` folds them into one table that lists the names in it.
 
-Null sources and languages are groups of their own. Null texts have no tokens. Groups whose rows
-were all deleted stay with zeros. Repeated rows each count.
+Null sources and languages are groups of their own. Null texts have no tokens; texts are counted
+whole, however long. Groups whose rows were all deleted stay with zeros. Repeated rows each
+count. Other columns of the documents are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 import numpy as np
 import pyarrow as pa
@@ -38,45 +40,63 @@ class Rollup:
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch of (source, lang, tokenizer, sign, n_tokens); False if it is there already."""
+        folder = quote(batch, safe="")
+        if not batch or len(folder) > 200:
+            raise ValueError(f"not a name for a batch: {batch[:80]!r}")
         if batch in self.batches():
             return False
         summed = changes.groupBy(*GROUP).agg(F.sum("sign").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens"))
         # A half-written delta of an earlier try has no mark and is replaced.
-        summed.write.mode("overwrite").parquet(f"{self.root}/deltas/{batch}")
+        summed.write.mode("overwrite").parquet(f"{self.root}/deltas/{folder}")
         return True
 
     def batches(self) -> set[str]:
         """Names of the complete batches, folded ones too."""
-        return self._complete("deltas") | set().union(*(name.split("+") for name in self._complete("folded")))
+        return self._deltas() | self._fold()[1]
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens over all complete batches, each once."""
-        folded = self._complete("folded")
-        held = max(folded, key=lambda name: (name.count("+"), name), default=None)
-        inside = set(held.split("+")) if held else set()
-        paths = [f"{self.root}/folded/{held}"] * bool(held) + [f"{self.root}/deltas/{b}" for b in sorted(self._complete("deltas") - inside)]
+        held, inside = self._fold()
+        paths = [f"{self.root}/folded/{held}/totals"] * bool(held) + [f"{self.root}/deltas/{quote(b, safe='')}" for b in sorted(self._deltas() - inside)]
         if not paths:
             return self.spark.createDataFrame([], SCHEMA)
+        # Names are percent-encoded in paths, and a path with a percent sign is read as it stands.
         rows = self.spark.read.schema(SCHEMA).parquet(*paths)
         return rows.groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 
     def compact(self) -> None:
-        """Fold all complete batches into one table, named after them. The deltas stay until their owner removes them."""
-        names = self.batches()
+        """Fold all complete batches into one table beside the list of their names. The deltas stay until their owner removes them."""
+        names = sorted(self.batches())
         if names:
-            self.totals().repartition(1).write.mode("overwrite").parquet(f"{self.root}/folded/{'+'.join(sorted(names))}")
-
-    def _complete(self, kind: str) -> set[str]:
+            folder = f"{self.root}/folded/{len(names):08d}-{uuid.uuid4().hex[:12]}"
+            self.spark.createDataFrame([(n,) for n in names], "batch string").repartition(1).write.parquet(f"{folder}/names")
+            # The totals come last: a fold without them is none.
+            self.totals().repartition(1).write.parquet(f"{folder}/totals")
+
+    def _deltas(self) -> set[str]:
+        return {unquote(name) for name in self._complete("deltas")}
+
+    def _fold(self) -> tuple[str | None, set[str]]:
+        """The fold with the most batches, and their names."""
+        held = max(self._complete("folded", "totals"), default=None)
+        if held is None:
+            return None, set()
+        return held, {r["batch"] for r in self.spark.read.schema("batch string").parquet(f"{self.root}/folded/{held}/names").collect()}
+
+    def _complete(self, kind: str, part: str = "") -> set[str]:
+        """Folders that are marked as written to their end."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
         files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not files.exists(path):
             return set()
         found = [s.getPath() for s in files.listStatus(path)]
-        return {p.getName() for p in found if files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))}
+        return {p.getName() for p in found if files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, f"{part}/_SUCCESS".lstrip("/")))}
 
 
-def change(rows: DataFrame, tokenizer: str, sign: int, n_tokens: Column) -> DataFrame:
-    return rows.select("source", "lang", F.lit(tokenizer).alias("tokenizer"), F.lit(sign).cast("long").alias("sign"), n_tokens.cast("long").alias("n_tokens"))
+def change(rows: DataFrame, tokenizer: str, sign: int | Column, n_tokens: Column) -> DataFrame:
+    """Signed rows; a sign of -3 takes three equal rows away."""
+    sign = sign if isinstance(sign, Column) else F.lit(sign)
+    return rows.select("source", "lang", F.lit(tokenizer).alias("tokenizer"), sign.cast("long").alias("sign"), n_tokens.cast("long").alias("n_tokens"))
 
 
 def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -106,21 +126,19 @@ def maintained(docs: DataFrame, tokenizer: str, version: str = "word_bpe_49k") -
     """
     spark = docs.sparkSession
     rows = settle(counted(docs, tokenizer), "counts")
-    kept = rows.groupBy("text_hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     held = Rollup(spark, scratch_dir(spark, f"rollup-{uuid.uuid4().hex[:6]}"))
-    # Every copy is deleted with its own source and language; of rows equal in id and text one is kept.
-    surplus = rows.join(kept.where("n > 1"), "text_hash").withColumn("stays", F.col("doc_id").eqNullSafe(F.col("first")))
-    same = surplus.where("stays").groupBy("text_hash", "source", "lang", "n_words", "n_pieces").agg(F.count("*").alias("again"))
-    order = same.groupBy("text_hash").agg(F.min(F.struct("source", "lang")).alias("kept_as"))
-    same = same.join(order, "text_hash").withColumn("again", F.col("again") - (F.struct("source", "lang").eqNullSafe(F.col("kept_as"))).cast("int"))
-    gone = surplus.where("NOT stays").select("source", "lang", "n_words", "n_pieces").unionByName(
-        same.where("again > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "again"))).select("source", "lang", "n_words", "n_pieces"))
+    # Copies are counted by source and language first, so a text that many rows share is a few rows from there on.
+    per = rows.groupBy("text_hash", "source", "lang", "n_words", "n_pieces").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+    order = F.struct(F.col("first").isNull().alias("none"), "first", "source", "lang")
+    own = F.struct("source", "lang").eqNullSafe(F.struct("kept.source", "kept.lang"))
+    surplus = F.col("n") - own.cast("long")
+    gone = per.join(per.groupBy("text_hash").agg(F.min(order).alias("kept")), "text_hash").withColumn("again", surplus).where("again > 0")
     revised = F.col("n_pieces") + 1
     batches = {
         "insert": change(rows, "words", 1, F.col("n_words")),
         "add-version": change(rows, version, 1, F.col("n_pieces")),
         "revise": change(rows, version, -1, F.col("n_pieces")).unionByName(change(rows, version, 1, revised)),
-        "delete-copies": change(gone, "words", -1, F.col("n_words")).unionByName(change(gone, version, -1, revised)),
+        "delete-copies": change(gone, "words", -F.col("again"), F.col("n_words")).unionByName(change(gone, version, -F.col("again"), revised)),
     }
     for name, changes in batches.items():
         held.commit(name, changes)

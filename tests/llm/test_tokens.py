@@ -12,6 +12,7 @@ import numpy as np
 import odd
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tarmac.llm import bpe, packing, tokencounts, wordpieces
@@ -189,3 +190,28 @@ def test_batches_count_once(spark, tmp_path):
     assert {(r["source"], r["n_docs"], r["n_tokens"]) for r in held.totals().collect()} == want
     held.compact()
     assert not held.commit("two", back) and {(r["source"], r["n_docs"], r["n_tokens"]) for r in held.totals().collect()} == want
+
+
+def test_many_batches_fold(spark, tmp_path):
+    held = tokencounts.Rollup(spark, str(tmp_path / "rollup"))
+    rows = spark.createDataFrame([("a", "en", "v", 1, 10)], "source string, lang string, tokenizer string, sign bigint, n_tokens bigint").coalesce(1)
+    names = ["a+b", "2026/08/07", "ü %", "a b", "x" * 150, *[f"2026-08-{i:02d}T00:00:00" for i in range(1, 25)]]
+    for n in names:
+        assert held.commit(n, rows)
+    held.compact()
+    held.compact()
+    assert held.batches() == set(names) and not any(held.commit(n, rows) for n in names[:4])
+    assert [tuple(r) for r in held.totals().collect()] == [("a", "en", "v", len(names), 10 * len(names))]
+    assert held.commit("one more", rows) and held.totals().first()["n_docs"] == len(names) + 1
+    # A fold that was cut off before its totals does not count.
+    (tmp_path / "rollup/folded/99999999-cut/names").mkdir(parents=True)
+    assert held.totals().first()["n_docs"] == len(names) + 1
+    # Names far beyond what a file may be called are kept inside the fold.
+    spark.createDataFrame([(f"day-{i}-" + "n" * 60,) for i in range(1000)], "batch string").coalesce(1).write.parquet(str(tmp_path / "other/folded/00001000-f/names"))
+    rows.groupBy("source", "lang", "tokenizer").agg(F.lit(1000).cast("long").alias("n_docs"), F.lit(5).cast("long").alias("n_tokens")).write.parquet(str(tmp_path / "other/folded/00001000-f/totals"))
+    big = tokencounts.Rollup(spark, str(tmp_path / "other"))
+    assert not big.commit("day-999-" + "n" * 60, rows) and big.commit("new", rows)
+    big.compact()
+    assert len(big.batches()) == 1001 and big.totals().first()["n_docs"] == 1001
+    with pytest.raises(ValueError, match="name for a batch"):
+        held.commit("n" * 300, rows)
