@@ -26,6 +26,17 @@ class Nfa:
         return len(self.empty) - 1
 
 
+    def turned(self) -> Nfa:
+        """The same states with every move the other way."""
+        out = Nfa([[] for _ in self.empty], [[] for _ in self.moves])
+        for q, (empty, moves) in enumerate(zip(self.empty, self.moves, strict=True)):
+            for to in empty:
+                out.empty[to].append(q)
+            for letters, to in moves:
+                out.moves[to].append((letters, q))
+        return out
+
+
 class Pattern:
     """Reads literals, ``\\xNN``, classes, groups, ``|`` and the quantifiers ``? * + {m} {m,} {m,n}``."""
 
@@ -163,16 +174,19 @@ class Automaton:
         return found
 
 
-def compile_rules(rules: list[tuple[str, bool]], search: bool) -> Automaton:
+def compile_rules(rules: list[tuple[str, bool]], search: bool, backward: bool = False) -> Automaton:
     """One automaton for all (pattern, letters in either case) rules.
 
     With ``search`` a match may begin at every byte, so that one pass sees all matches' ends;
-    without it, a match begins where the automaton starts.
+    without it, a match begins where the automaton starts. With ``backward`` it reads from the
+    last byte to the first, so that a searching pass sees all matches' starts.
     """
     nfa = Nfa([], [])
     start, ends = nfa.state(), []
-    for text, fold in rules:
-        a, b = Pattern(nfa, text, fold).build()
+    built = [Pattern(nfa, text, fold).build() for text, fold in rules]
+    if backward:
+        nfa, built = nfa.turned(), [(b, a) for a, b in built]
+    for a, b in built:
         nfa.empty[start].append(a)
         ends.append(b)
     closed = _closures(nfa)

@@ -4,17 +4,23 @@ The texts of a block are laid end to end and cut into lanes of equal length. All
 through the transition array together, one byte at a time; each lane warms up on the bytes
 before it, and a lane whose state at its start then differs from the state its predecessor
 ended in is run again from there, until all agree. Lanes that reach an accepting state name
-the regions that may hold secrets; there, one automaton per rule finds the exact spans, the
-leftmost and longest first. The work is one pass per byte, however many rules there are.
+the regions that may hold secrets. There, one automaton for all rules reads backward and marks
+the bytes at which a match of a rule begins, and from those that no earlier match covers one automaton for each
+rule reads the match to its end, the leftmost and longest first. So a byte is read once by all rules
+together, and again only inside matches, on lines of any length.
 The shared automaton accepts a rule after at most ``SEEN`` bytes of its measured part: full
 counters of all rules at once would multiply its states, and the exact step counts them all.
 
+A private key's span goes on to the end of its block: to its END line, or without one over the lines of
+base64 that follow.
+
 Null or empty texts have no spans. Spans count code points; the end is exclusive. Repeated
 rows are scanned each for itself; columns other than the text are not touched.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -70,10 +76,14 @@ BASE = (
 ADDED = (
     Rule("jwt", "[A-Za-z0-9_-]", 10, r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\."),
     Rule("private_key", "-", 5, "-----BEGIN ([A-Z0-9]+ )*PRIVATE KEY"),
-    Rule("service", "[A-Za-z0-9]", 20, "(gh[pousr]_|glpat-|xox[abprs]-|sk_live_)"),
+    Rule("service", "[A-Za-z0-9_-]", 20, "(gh[pousr]_|github_pat_|glpat-|xox[abeoprs]-|sk_live_)"),
 )
 RULES = BASE + ADDED
 
+#: What follows the header of a private key: all up to the end of its block, or lines of base64. Neither goes past the next header.
+BLOCK = re.compile(rb"[^-]*(?:-(?!----)[^-]*)*-----END [A-Z0-9 ]*PRIVATE KEY-----")
+BODY = re.compile(rb"(?:[\x20\t]*(?:\r?\n|\\n)[A-Za-z0-9+/=]++(?=[\x20\t]*(?:\r?\n|\\n|['\"]|$)))+")
+
 SPAN = ArrayType(StructType([StructField("kind", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())]))
 
 
@@ -88,6 +98,8 @@ class Scanner:
         self.single = [compile_rules([(r.pattern, r.fold)], search=False) for r in rules]
         self.counted = [compile_rules([(r.counted, r.fold)], search=False) for r in rules]
         self.rows = [[a.table.tolist() for a in group] for group in (self.single, self.counted)]
+        self.starts = compile_rules([(r.pattern, r.fold) for r in rules], search=True, backward=True)
+        self.start_rows, self.start_bits = self.starts.table.tolist(), self.starts.accepts.tolist()
         if not self.resets[0x0A]:
             raise ValueError("a rule spans line ends, which part the texts here")
 
@@ -134,19 +146,32 @@ class Scanner:
                 out.append(region)
         return out
 
+    def begins(self, data: bytes, low: int, high: int) -> list[list[int]]:
+        """For each rule the places in a range where a match begins, in order."""
+        rows, bits, least, state = self.start_rows, self.start_bits, self.starts.first_accept, 0
+        found: list[list[int]] = [[] for _ in self.rules]
+        for at in range(high - 1, low - 1, -1):
+            state = rows[state][data[at]]
+            if state >= least:
+                own = bits[state]
+                for k, places in enumerate(found):
+                    if own >> k & 1:
+                        places.append(at)
+        for places in found:
+            places.reverse()
+        return found
+
     def spans(self, data: bytes, low: int, high: int) -> list[tuple[int, int, int]]:
         """(start, rule, end) of all matches long enough in a range, in bytes."""
         found = []
-        for k in range(len(self.rules)):
-            at = low
-            while at < high:
-                end = self.single[k].longest(data, at, high, self.rows[0][k])
-                if end < 0:
-                    at += 1
+        for k, places in enumerate(self.begins(data, low, high)):
+            done = low
+            for at in places:
+                if at < done:
                     continue
-                if self.counted[k].longest(data, at, end, self.rows[1][k]) == end:
-                    found.append((at, k, end))
-                at = end
+                done = self.single[k].longest(data, at, high, self.rows[0][k])
+                if self.counted[k].longest(data, at, done, self.rows[1][k]) == done:
+                    found.append((at, k, done))
         return found
 
     def scan(self, texts: list[bytes]) -> list[list[tuple[int, int, int]]]:
@@ -158,12 +183,17 @@ class Scanner:
         for low, high in self.regions(data):
             for a, k, b in self.spans(joined, low, high):
                 owner = int(np.searchsorted(starts, a, side="right")) - 1
-                out[owner].append((a - int(starts[owner]), k, b - int(starts[owner])))
+                a, b = a - int(starts[owner]), b - int(starts[owner])
+                if self.rules[k].kind == "private_key":
+                    rest = BLOCK.match(texts[owner], b) or BODY.match(texts[owner], b)
+                    b = rest.end() if rest else b
+                out[owner].append((a, k, b))
         for text, own in zip(texts, out, strict=True):
             if own:
                 own.sort()
-                lead = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)
-                own[:] = [(int(lead[a]) - 1, k, int(lead[a]) - 1 + b - a) for a, k, b in own]
+                # Code points before each byte; a private key's block may hold any.
+                lead = np.concatenate([[0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)])
+                own[:] = [(int(lead[a]), k, int(lead[b])) for a, k, b in own]
         return out
 
 
