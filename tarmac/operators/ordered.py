@@ -9,7 +9,10 @@ bucket); what a bucket must know about earlier ones is either
 * a *carry*: one summary row per (key, bucket), scanned in bucket order and joined
   back on the same (key, bucket) partitioning, used where it does not.
 
-Both give the same answer as the unbucketed window. Key columns must not be null.
+The summary of a bucket is read off its last row once the bucket is windowed, so rows and
+summaries start from the same shuffle and the input is evaluated once.
+
+Both give the same answer as the unbucketed window. Rows without a key or a bucket are left out.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 BUCKET = "__bucket"
 HOME = "__home"
@@ -60,24 +64,41 @@ def _carry_window(keys: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(BUCKET)
 
 
+def _dealt(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column) -> tuple[DataFrame, WindowSpec]:
+    """Rows dealt out by (key, bucket), and the window over a bucket.
+
+    Rows that agree in the order columns are told apart by a hash of the whole row. It is taken
+    after the shuffle, which so carries all columns for rows and summaries alike: the
+    planner sees one shuffle and runs it, and what lies below, once.
+    """
+    whole = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    known = F.col(BUCKET).isNotNull()
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    # Rows without a key or a place in time would be lost in the join; said here, both sides say the same.
+    base = df.withColumn(BUCKET, bucket).filter(known).repartition(*keys, BUCKET).withColumn("__tie", F.xxhash64(*whole))
+    return base, bucket_window(keys, [*order, "__tie"])
+
+
+def _ends(rows: DataFrame, w: WindowSpec, *columns: str | Column) -> DataFrame:
+    """The last row of every bucket."""
+    return rows.withColumn("__more", F.lead(F.lit(1)).over(w)).filter(F.col("__more").isNull()).select(*columns)
+
+
 def with_previous(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
     *, bucket: Column, name: str = "prev",
 ) -> DataFrame:
     """Struct ``name`` with the values of the preceding row of the same key."""
-    base = df.withColumn(BUCKET, bucket)
+    base, w = _dealt(df, keys, order, bucket)
     row = F.struct(*values)
-    here = base.withColumn("__lag", F.lag(row).over(bucket_window(keys, order)))
-    carry = (
-        base.groupBy(*keys, BUCKET)
-        .agg(F.max_by(row, F.struct(*order)).alias("__last"))
-        .withColumn("__carry", F.lag("__last").over(_carry_window(keys)))
-        .drop("__last")
-    )
+    here = base.withColumn("__lag", F.lag(row).over(w))
+    carry = _ends(base, w, *keys, BUCKET, row.alias("__last")).select(
+        *keys, BUCKET, F.lag("__last").over(_carry_window(keys)).alias("__carry"))
     return (
         here.join(carry, [*keys, BUCKET])
         .withColumn(name, F.coalesce("__lag", "__carry"))
-        .drop(BUCKET, "__lag", "__carry")
+        .select(*df.columns, name)
     )
 
 
@@ -86,25 +107,21 @@ def running_last(
     *, bucket: Column, inclusive: bool = True,
 ) -> DataFrame:
     """Last non-null value of each expression up to (or strictly before) the row."""
-    base = df.withColumn(BUCKET, bucket)
-    w = bucket_window(keys, order)
+    base, w = _dealt(df, keys, order, bucket)
     frame = so_far(w) if inclusive else before(w)
     here = base.withColumns(
         {f"__h_{n}": F.last(e, ignorenulls=True).over(frame) for n, e in exprs.items()}
     )
     wb = before(_carry_window(keys))
-    at = F.struct(*order)
-    ends = base.groupBy(*keys, BUCKET).agg(
-        *[F.max_by(e, F.when(e.isNotNull(), at)).alias(f"__e_{n}") for n, e in exprs.items()]
-    )
-    carry = ends.select(
+    whole = base.withColumns({f"__e_{n}": F.last(e, ignorenulls=True).over(so_far(w)) for n, e in exprs.items()})
+    carry = _ends(whole, w, *keys, BUCKET, *[f"__e_{n}" for n in exprs]).select(
         *keys, BUCKET,
         *[F.last(f"__e_{n}", ignorenulls=True).over(wb).alias(f"__c_{n}") for n in exprs],
     )
     return (
         here.join(carry, [*keys, BUCKET])
         .withColumns({n: F.coalesce(f"__h_{n}", f"__c_{n}") for n in exprs})
-        .drop(BUCKET, *[f"__h_{n}" for n in exprs], *[f"__c_{n}" for n in exprs])
+        .select(*[c for c in df.columns if c not in exprs], *exprs)
     )
 
 
@@ -116,15 +133,12 @@ def running_sum(
 
     ``keys`` may be empty: the carry then has one row per bucket of the whole input.
     """
-    base = df.withColumn(BUCKET, bucket)
-    w = so_far(bucket_window(keys, order))
-    here = base.withColumns({f"__h_{n}": F.sum(e).over(w) for n, e in exprs.items()})
+    base, w = _dealt(df, keys, order, bucket)
+    here = base.withColumns({f"__h_{n}": F.sum(e).over(so_far(w)) for n, e in exprs.items()})
     wb = before(_carry_window(keys))
-    carry = (
-        base.groupBy(*keys, BUCKET)
-        .agg(*[F.sum(e).alias(f"__e_{n}") for n, e in exprs.items()])
-        .select(*keys, BUCKET, *[F.sum(f"__e_{n}").over(wb).alias(f"__c_{n}") for n in exprs])
-    )
+    # At the last row the running sum is the bucket's.
+    carry = _ends(here, w, *keys, BUCKET, *[f"__h_{n}" for n in exprs]).select(
+        *keys, BUCKET, *[F.sum(f"__h_{n}").over(wb).alias(f"__c_{n}") for n in exprs])
     return (
         here.join(carry, [*keys, BUCKET])
         .withColumns(
@@ -133,7 +147,7 @@ def running_sum(
                 for n in exprs
             }
         )
-        .drop(BUCKET, *[f"__h_{n}" for n in exprs], *[f"__c_{n}" for n in exprs])
+        .select(*[c for c in df.columns if c not in exprs], *exprs)
     )
 
 
@@ -147,9 +161,9 @@ def islands(
     A new island starts where ``is_break(previous row, row)`` holds; both arguments
     are structs of the order and carry columns.
     """
-    w = bucket_window(keys, order)
-    cur, at = F.struct(*order, *carry), F.struct(*order)
-    here = df.withColumn(BUCKET, bucket).withColumn("__row", cur)
+    base, w = _dealt(df, keys, order, bucket)
+    at = F.struct(*order)
+    here = base.withColumn("__row", F.struct(*order, *carry))
     here = here.withColumn("__prev", F.lag("__row").over(w))
     here = here.withColumn(
         "__break",
@@ -157,12 +171,12 @@ def islands(
     )
     rows = here.withColumn("__local", F.last("__break", ignorenulls=True).over(so_far(w)))
 
-    wb = _carry_window(keys)
-    summary = here.groupBy(*keys, BUCKET).agg(
-        F.min_by("__row", at).alias("__first"),
-        F.max_by("__row", at).alias("__final"),
-        F.max("__break").alias("__inner"),
+    # At the last row of a bucket: its first row, itself, and the last break inside.
+    summary = _ends(
+        rows.withColumn("__first", F.first("__row").over(so_far(w))), w,
+        *keys, BUCKET, "__first", F.col("__row").alias("__final"), F.col("__local").alias("__inner"),
     )
+    wb = _carry_window(keys)
     before_bucket = F.col("__prior")
     first = F.col("__first")
     first_at = F.struct(*[first[c].alias(c) for c in order])
@@ -179,7 +193,7 @@ def islands(
     return (
         rows.join(starts, [*keys, BUCKET])
         .withColumn(name, F.coalesce("__local", "__begin"))
-        .drop(BUCKET, "__row", "__prev", "__break", "__local", "__begin")
+        .select(*[c for c in df.columns if c != name], name)
     )
 
 
