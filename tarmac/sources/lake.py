@@ -284,10 +284,11 @@ def compact(
     old = [f for held in bins for f in held]
     token = f"{day}-{uuid.uuid4().hex}"
     before = _read_files(spark, target, full, old)
-    # One row for each file; every bin goes to one task, and holds target_bytes at most.
-    place = spark.createDataFrame([(f.rsplit("/", 1)[-1], i) for i, held in enumerate(bins) for f in held], "__file string, __bin int")
+    # One row for each file; every bin goes to one task, and holds target_bytes at most. Files of one batch share names between hours.
+    place = spark.createDataFrame([(f, i) for i, held in enumerate(bins) for f in held], "__file string, __bin int")
     reader = spark.read.schema(full).option("basePath", target).parquet(*[f"{target}/{f}" for f in old])
-    binned = reader.select(*full.names, F.col("_metadata.file_name").alias("__file")).join(F.broadcast(place), "__file").repartition(len(bins), "__bin")
+    own = F.regexp_extract("_metadata.file_path", f"({_BATCH}=[^/]+/[^/]+/[^/]+/[^/]+)$", 1)
+    binned = reader.select(*full.names, own.alias("__file")).join(F.broadcast(place), "__file").repartition(len(bins), "__bin")
     added = _write_files(binned.select(*full.names), target, token, "ingested_at").get(day, [])
     want, got = content_fingerprint(before), content_fingerprint(_read_files(spark, target, full, [f for f, _ in added]))
     fs, own = _fs(spark, f"{target}/{_BATCH}={token}")

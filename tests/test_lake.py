@@ -104,6 +104,16 @@ def test_compaction_leaves_large_files(spark, tmp_path):
     assert (done["rows"], done["files_after"]) == (13, 2) and lake.read_layer(spark, root, "faa_status").count() == 2013
 
 
+def test_files_of_one_name_in_different_hours(spark, tmp_path):
+    root = str(tmp_path)
+    for k in range(3):
+        hours = [batch(spark, 4, datetime(2026, 8, 7, h, k)) for h in (5, 6, 7)]
+        lake.append_bronze(hours[0].unionByName(hours[1]).unionByName(hours[2]).coalesce(1), root, "faa_status")
+    done = lake.compact(spark, root, "faa_status", "2026-08-07", now=datetime(2026, 8, 9))
+    assert (done["rows"], done["files_before"], done["files_after"]) == (36, 9, 3)
+    assert {r["count"] for r in lake.read_layer(spark, root, "faa_status").groupBy("hour").count().collect()} == {12}
+
+
 def test_two_compactions_at_once(spark, tmp_path, monkeypatch):
     root, at = str(tmp_path), datetime(2026, 8, 7, 7, 32)
     for _ in range(3):
