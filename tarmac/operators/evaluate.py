@@ -30,7 +30,7 @@ def curve(scored: DataFrame, keys: Sequence[str] = ("model_version",), p: str =
     )
     # High scores come first, so the ranges are numbered downwards.
     cum = running_sum(
-        with_even_range(per, "p", "__range", ranges), list(keys), ["rank"], {"seen": F.col("n"), "tp": F.col("pos")}, bucket=-F.col("__range")
+        with_even_range(per, "p", "__range", keys, ranges), list(keys), ["rank"], {"seen": F.col("n"), "tp": F.col("pos")}, bucket=-F.col("__range")
     ).drop("__range")
     return cum.withColumn("precision", F.col("tp") / F.col("seen"))
 

@@ -114,16 +114,22 @@ def seen_in_both(daily: DataFrame, first: Column, second: Column, subject: str,
         F.theta_sketch_estimate(F.theta_intersection("a", "b")).alias("n_both"))
 
 
-def with_even_range(df: DataFrame, column: str, name: str, ranges: int = 256, k: int = 1024) -> DataFrame:
-    """Adds the number, from 0, of the range that a value lies in: ranges hold about equally many rows.
+def with_even_range(df: DataFrame, column: str, name: str, keys: Sequence[str] = (), ranges: int = 256, k: int = 1024) -> DataFrame:
+    """Adds the number, from 0, of the range that a value lies in: a key's ranges hold about equally many rows.
 
-    Splitters are quantiles of a sketch; they come as a scalar subquery, so nothing runs until the
-    result is asked for. Equal values share a range. Without values there is one range.
+    Splitters are quantiles of one sketch for each key, of which there must be few (models, not
+    aircraft), since every task gets them all. Equal values share a range; missing ones are in range 0.
     """
-    sketch = df.agg(F.count(_number(column)).alias("n"), F.kll_sketch_agg_double(_number(column), F.lit(k)).alias("s"))
-    cuts = sketch.select(F.when(F.col("n") > 0, F.slice(_quantiles("s", ranges), 1, ranges - 1)).otherwise(F.array().cast("array<double>"))).scalar()
+    sketch = df.groupBy(*keys).agg(F.count(_number(column)).alias("n"), F.kll_sketch_agg_double(_number(column), F.lit(k)).alias("s"))
+    cuts = F.when(F.col("n") > 0, F.slice(_quantiles("s", ranges), 1, ranges - 1)).otherwise(F.array().cast("array<double>"))
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"__of_{c}"))
+    # One small row for each key; without keys it is one row.
+    splitters = sketch.select(*[F.col(c).alias(f"__of_{c}") for c in keys], cuts.alias("__cuts"))
+    placed = df.join(F.broadcast(splitters), same)
     # Binary search: the largest number of splitters that lie below the value.
     steps = F.array(*[F.lit(1 << b) for b in range((ranges - 1).bit_length() - 1, -1, -1)])
     below = lambda at, step: F.coalesce(F.try_element_at("__cuts", at + step) < F.col(column), F.lit(False))
     number = F.aggregate(steps, F.lit(0), lambda at, step: F.when(below(at, step), at + step).otherwise(at))
-    return df.withColumn("__cuts", cuts).withColumn(name, number.cast("bigint")).drop("__cuts")
+    return placed.withColumn(name, number.cast("bigint")).select(*df.columns, name)

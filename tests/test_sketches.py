@@ -66,7 +66,7 @@ def test_distinct_keys_over_any_period(rows):
 
 def test_ranges_are_even_wherever_values_crowd(spark):
     hot = spark.range(20_000).select(F.when(F.col("id") % 10 > 0, 0.999 + F.col("id") / 2e7).otherwise(F.col("id") / 2e4).alias("p"))
-    sized = sketches.with_even_range(hot, "p", "range", 64).groupBy("range").agg(F.count("*").alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi")).orderBy("range").collect()
+    sized = sketches.with_even_range(hot, "p", "range", ranges=64).groupBy("range").agg(F.count("*").alias("n"), F.min("p").alias("lo"), F.max("p").alias("hi")).orderBy("range").collect()
     assert len(sized) == 64 and max(r["n"] for r in sized) < 3 * 20_000 / 64
     assert all(a["hi"] < b["lo"] for a, b in zip(sized, sized[1:]))
     one = spark.createDataFrame([(1.0,), (None,)], "p double")
