@@ -10,15 +10,15 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac.operators import quality, tracks
 from tarmac.operators.dedupe import with_hash
-from tarmac.plans.intake import state_bodies
+from tarmac.plans.intake import faa_bodies, metar_bodies, state_bodies, taf_bodies
 from tarmac.plans.joining import airports
 from tarmac.plans.registry import query
 from tarmac.plans.tracking import GO_AROUNDS, HOLD_HITS
 from tarmac.plans.views import Tables, _sql
 from tarmac.session import scratch_dir
-from tarmac.sources import states
+from tarmac.sources import lake, states
 from tarmac.streaming import events as ev
-from tarmac.streaming import flows
+from tarmac.streaming import feeds, flows
 
 
 def live(t: Tables, view: str) -> DataFrame:
@@ -46,6 +46,26 @@ def s15(t: Tables):
     return out.groupBy("origin_country", "on_ground").agg(F.count("*").alias("n"), F.count_if(F.col("broken") > 0).alias("rejected"))
 
 
+@query("s15_mixed_feeds", [], """
+    SELECT 'states' AS source, count(*) FILTER (WHERE NOT bad) AS n_rows, count(*) FILTER (WHERE bad) AS rejected FROM (SELECT event_id % 37 = 5 OR event_id % 97 = 13 OR event_id % 103 = 4 AS bad FROM events) e
+    UNION ALL SELECT 'metar', count(*) FILTER (WHERE NOT bad), count(*) FILTER (WHERE bad) FROM (SELECT event_id % 61 = 3 OR event_id % 53 = 2 AS bad FROM events) e
+    UNION ALL SELECT 'taf', count(*), 0 FROM events
+    UNION ALL SELECT 'faa_status', count(*) FILTER (WHERE event_id % 4 < 3 AND event_id % 17 <> 4) + count(*) FILTER (WHERE event_id % 4 = 2), 0 FROM events""")
+def s15m(t: Tables):
+    # Four feeds land together in three deliveries; each micro-batch is routed and entered once.
+    root = scratch_dir(t.spark, "feeds")
+    bodies = {"states": state_bodies(t), "metar": metar_bodies(t), "taf": taf_bodies(t), "faa_status": faa_bodies(t)}
+    mixed = lake.union_layers(*[b.select(F.lit(s).alias("source"), *[f.name for f in feeds.landing_schema().fields[1:]]) for s, b in bodies.items()])
+    mixed.write.parquet(f"{root}/all")
+    part = F.pmod(F.xxhash64("source", "poll_id"), F.lit(3))
+    for i in range(3):
+        t.spark.read.parquet(f"{root}/all").filter(part == i).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    flows.run_to_end(feeds.start_feeds(t.spark, f"{root}/in", root, f"{root}/checkpoint", files_per_trigger=1))
+    rows = [lake.read_layer(t.spark, root, s).select(F.lit(s).alias("source"), F.lit(1).alias("n"), F.lit(0).alias("bad")) for s in bodies]
+    aside = lake.read_layer(t.spark, root, "quarantine").select("source", F.lit(0).alias("n"), F.lit(1).alias("bad"))
+    return lake.union_layers(*rows, aside).groupBy("source").agg(F.sum("n").alias("n_rows"), F.sum("bad").alias("rejected"))
+
+
 @query("r01_stream_silver", ["v_bronze"], "SELECT icao24, origin_country, level, count(*) AS copies FROM (SELECT DISTINCT icao24, origin_country, level FROM v_bronze) d GROUP BY ALL")
 def r01(t: Tables):
     once = flows.stream_silver(live(t, "v_bronze"), delay="60 days")
@@ -120,6 +140,20 @@ def r06(t: Tables):
     return out.groupBy(F.col("departure_airport").alias("airport")).agg(F.count("*").alias("n"), F.count_distinct("first_seen").alias("moments"))
 
 
+@query("r06_batch_ledger", ["v_flight"], "SELECT departure_airport AS airport, count(*) AS n, count(DISTINCT first_seen) AS moments FROM v_flight GROUP BY 1")
+def r06l(t: Tables):
+    # The whole stream is run twice, the second time without its checkpoint: the ledger knows its batches.
+    root = scratch_dir(t.spark, "ledger")
+    rows = t.v_flight.select("departure_airport", "first_seen")
+    for i in range(3):
+        rows.filter(F.pmod(F.xxhash64("first_seen"), F.lit(3)) == i).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    for again in range(2):
+        src = flows.stream_landing(t.spark, f"{root}/in", rows.schema, files_per_trigger=1)
+        flows.run_to_end(flows.start(src, f"{root}/checkpoint-{again}", each_batch=lake.batch_writer(root, "flights", "feed", "first_seen")))
+    out = lake.read_layer(t.spark, root, "flights", ingested="first_seen", schema=rows.schema)
+    return out.groupBy(F.col("departure_airport").alias("airport")).agg(F.count("*").alias("n"), F.count_distinct("first_seen").alias("moments"))
+
+
 @query("r07_backfill", ["v_flight"], """
     SELECT strftime(first_seen, '%Y-%m-%d') AS date, departure_airport AS airport, count(*) AS n FROM v_flight
     WHERE first_seen >= TIMESTAMP '2024-01-05 00:00:00' AND first_seen < TIMESTAMP '2024-01-15 00:00:00' GROUP BY ALL""")

@@ -55,6 +55,8 @@ _DDL = {
     ),
     "ontime": "airport string, scheduled timestamp, actual timestamp",
     "predictions": "airport string, ts timestamp, p_delay double, model_version string",
+    # What was not accepted: a row as JSON, or a body as it came.
+    "quarantine": "poll_id string, ingested_at timestamp, source string, reasons array<string>, row string",
     # What lands before parsing: one row per response body.
     "landing": (
         "poll_id string, airport string, ingested_at timestamp, body string"
