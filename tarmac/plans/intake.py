@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.operators import quality
@@ -214,9 +214,14 @@ def s08(t: Tables):
     return a.select(F.lit("arrival").alias("direction"), *cols).unionByName(d.select(F.lit("departure").alias("direction"), *cols))
 
 
+def drawn_together(ts: str) -> Column:
+    """A month of times as half a day, so that layers have a dozen hours and not seven hundred."""
+    return F.timestamp_micros((F.lit(T0) + (F.unix_micros(ts) - F.lit(T0)) / 60).cast("bigint"))
+
+
 def sightings(t: Tables) -> DataFrame:
     """All events as program notices, the month drawn together into half a day."""
-    at = F.timestamp_micros((F.lit(T0) + (F.unix_micros("ingested_at") - F.lit(T0)) / 60).cast("bigint"))
+    at = drawn_together("ingested_at")
     empty = F.lit(None).cast("string")
     return t.v_program.select(
         F.col("event_id").cast("string").alias("poll_id"), at.alias("ingested_at"), F.md5(F.col("event_id").cast("string")).alias("payload_hash"), "airport", "event_type",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,17 +76,14 @@ def read_notice(body: str | None) -> dict | None:
     return {"records": records, "named": named}
 
 
-def _read_notices(bodies: pd.Series) -> pd.DataFrame:
-    read = [read_notice(b) for b in bodies]
-    return pd.DataFrame({
-        "records": pd.Series([None if r is None else r["records"] for r in read], dtype=object),
-        "named": pd.array([None if r is None else r["named"] for r in read], dtype="Int32"),
-    })
+def _read_notices(bodies: pa.Array) -> pa.Array:
+    record = pa.struct([(n, pa.string()) for n in ("section", *(f"f_{i}" for i in range(len(_FIELDS))), "raw_xml")])
+    return pa.array([read_notice(b) for b in bodies.to_pylist()], pa.struct([("records", pa.list_(record)), ("named", pa.int32())]))
 
 
 def notice_tree(body: str | Column) -> Column:
     """Struct of the document's records and ``named``; its fields are null for an unreadable or unsafe one."""
-    return F.pandas_udf(_read_notices, NOTICE)(safe_body(body))
+    return F.arrow_udf(_read_notices, NOTICE)(safe_body(body))
 
 
 def parse_faa(landed: DataFrame, body: str = "body") -> DataFrame:
