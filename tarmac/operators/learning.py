@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tarmac.operators.joins import latest_by
 from tarmac.operators.ordered import running_sum
+from tarmac.session import scratch_dir
 
 
 def split(
@@ -36,6 +37,11 @@ def split(
 
 
 def train(df: DataFrame, features: Sequence[str], kind: str = "logistic", y: str = "target", seed: int = 7) -> PipelineModel:
+    """The fitted pipeline, without its training summary.
+
+    A summary holds the session, and is sent to the tasks with its model; a session in which
+    anything was observed can't be (seen with Spark 4.1). A stored model has none.
+    """
     names = list(features)
     filled = [f"{c}__f" for c in names]
     numeric = df.filter(F.col(y).isNotNull()).select(
@@ -52,7 +58,12 @@ def train(df: DataFrame, features: Sequence[str], kind: str = "logistic", y: str
         stages.append(GBTClassifier(maxIter=20, maxDepth=4, seed=seed))
     else:
         raise ValueError(f"unknown model kind {kind!r}")
-    return Pipeline(stages=stages).fit(numeric)
+    model = Pipeline(stages=stages).fit(numeric)
+    if not getattr(model.stages[-1], "hasSummary", False):
+        return model
+    path = scratch_dir(df.sparkSession, "model")
+    model.write().save(path)
+    return PipelineModel.load(path)
 
 
 def apply_model(model: PipelineModel, df: DataFrame, features: Sequence[str], version: str) -> DataFrame:
