@@ -76,14 +76,31 @@ def read_notice(body: str | None) -> dict | None:
     return {"records": records, "named": named}
 
 
+#: Characters of the bodies whose records are Python objects at once; a longer body is read by itself.
+_AT_ONCE = 1 << 18
+
+
 def _read_notices(bodies: pa.Array) -> pa.Array:
     record = pa.struct([(n, pa.string()) for n in ("section", *(f"f_{i}" for i in range(len(_FIELDS))), "raw_xml")])
-    return pa.array([read_notice(b) for b in bodies.to_pylist()], pa.struct([("records", pa.list_(record)), ("named", pa.int32())]))
+    kind = pa.struct([("records", pa.list_(record)), ("named", pa.int32())])
+    done, held, size = [], [], 0
+    for body in bodies:
+        text = body.as_py()
+        held.append(read_notice(text))
+        size += len(text or "")
+        if size >= _AT_ONCE:
+            done.append(pa.array(held, kind))
+            held, size = [], 0
+    return pa.concat_arrays([*done, pa.array(held, kind)])
 
 
 def notice_tree(body: str | Column) -> Column:
-    """Struct of the document's records and ``named``; its fields are null for an unreadable or unsafe one."""
-    return F.arrow_udf(_read_notices, NOTICE)(safe_body(body))
+    """Struct of the document's records and ``named``; its fields are null for an unreadable or unsafe one.
+
+    Called non-deterministic, since the planner would else read every document once more for a
+    filter that it infers from the exploded records.
+    """
+    return F.arrow_udf(_read_notices, NOTICE).asNondeterministic()(safe_body(body))
 
 
 def parse_faa(landed: DataFrame, body: str = "body") -> DataFrame:
@@ -112,7 +129,8 @@ def unreadable_faa(landed: DataFrame, body: str = "body") -> DataFrame:
 
 def unseen_records(landed: DataFrame, parsed: DataFrame, body: str = "body") -> DataFrame:
     """Polls whose documents name more airports than were parsed: a new section, spelling or wrapper appeared."""
-    named = landed.groupBy("poll_id").agg(F.sum(notice_tree(body)["named"]).cast("int").alias("named"))
+    read = landed.select("poll_id", notice_tree(body)["named"].alias("__n"))
+    named = read.groupBy("poll_id").agg(F.sum("__n").cast("int").alias("named"))
     got = parsed.groupBy("poll_id").agg(F.count("*").alias("parsed"))
     return (
         named.join(got, "poll_id", "left").na.fill(0, ["parsed"])

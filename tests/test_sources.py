@@ -247,3 +247,22 @@ def test_faa_odd_bodies(spark):
     df = land(spark, None, "", "<a>", notice(("Deicing", deep)), notice())
     assert faa.parse_faa(df).count() == 1 and faa.unreadable_faa(df).count() == 3
     assert faa.parse_faa(df.limit(0)).count() == 0 and faa.unseen_records(df.limit(0), faa.parse_faa(df.limit(0))).count() == 0
+
+
+def test_notices_become_arrow_in_small_parts(monkeypatch):
+    import pyarrow as pa
+
+    from tarmac.sources import faa
+
+    body = "<A><Delay_type><Name>N</Name><L><P><ARPT>SEA</ARPT></P></L></Delay_type></A>"
+    bodies, sizes, build = [body, None, "<broken", body] * 50, [], pa.array
+
+    def array(values, *args):
+        sizes.append(len(values))
+        return build(values, *args)
+
+    whole = faa._read_notices(pa.array(bodies)).to_pylist()
+    monkeypatch.setattr(faa, "_AT_ONCE", 1000)
+    monkeypatch.setattr(faa.pa, "array", array)
+    assert faa._read_notices(build(bodies)).to_pylist() == whole and max(sizes) < 40 and sum(sizes) == 200
+    assert [w and w["named"] for w in whole[:4]] == [1, None, None, 1]
