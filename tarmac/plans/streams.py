@@ -52,15 +52,16 @@ def s15(t: Tables):
     UNION ALL SELECT 'taf', count(*), 0 FROM events
     UNION ALL SELECT 'faa_status', count(*) FILTER (WHERE event_id % 4 < 3 AND event_id % 17 <> 4) + count(*) FILTER (WHERE event_id % 4 = 2), 0 FROM events""")
 def s15m(t: Tables):
-    # Four feeds land together in two deliveries; each micro-batch is routed and entered once.
+    # Four feeds land together in two deliveries, each a micro-batch that is routed and entered once.
     root = scratch_dir(t.spark, "feeds")
     bodies = {"states": state_bodies(t), "metar": metar_bodies(t), "taf": taf_bodies(t), "faa_status": faa_bodies(t)}
     mixed = lake.union_layers(*[b.select(F.lit(s).alias("source"), *[f.name for f in feeds.landing_schema().fields[1:]]) for s, b in bodies.items()])
     mixed.withColumn("ingested_at", drawn_together("ingested_at")).write.parquet(f"{root}/all")
     part = F.pmod(F.xxhash64("source", "poll_id"), F.lit(2))
     for i in range(2):
-        t.spark.read.parquet(f"{root}/all").filter(part == i).coalesce(1).write.mode("append").parquet(f"{root}/in")
-    flows.run_to_end(feeds.start_feeds(t.spark, f"{root}/in", root, f"{root}/checkpoint", files_per_trigger=1))
+        # The second start goes on from the checkpoint of the first.
+        t.spark.read.parquet(f"{root}/all").filter(part == i).write.mode("append").parquet(f"{root}/in")
+        flows.run_to_end(feeds.start_feeds(t.spark, f"{root}/in", root, f"{root}/checkpoint"))
     rows = [lake.read_layer(t.spark, root, s).select(F.lit(s).alias("source"), F.lit(1).alias("n"), F.lit(0).alias("bad")) for s in bodies]
     aside = lake.read_layer(t.spark, root, "quarantine").select("source", F.lit(0).alias("n"), F.lit(1).alias("bad"))
     return lake.union_layers(*rows, aside).groupBy("source").agg(F.sum("n").alias("n_rows"), F.sum("bad").alias("rejected"))
