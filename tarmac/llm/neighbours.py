@@ -3,8 +3,10 @@
 Unit vectors are turned by pseudo-rotations (three rounds of random signs and a fast Hadamard
 transform) and assigned to the nearest signed axis, once for each table. A query looks into its
 nearest axis and the next ones of every table (multiprobe); what it finds is ranked by the exact
-inner product, in double precision, on the original vectors. The number of probes grows where a
-table is so small that its buckets would hold too few candidates.
+inner product, in double precision, on the original vectors. Each query looks into ``least_probes``
+axes of every table, and goes on to further ones until the buckets it looks into hold ``candidates``
+entries, or all: so one whose surroundings are sparse is answered as well as others, and how large
+the table is has no say in it.
 
 Equal vectors are one *entry* with their smallest ids (as many as a result can show), so a vector
 that a third of all rows share costs no more than others. Buckets larger than ``bucket_rows``
@@ -41,11 +43,6 @@ class Settings:
     query_rows: int = 1024
     seed: int = 3
 
-    def probes(self, entries: int, axes: int) -> int:
-        """Axes to look into, of 2 * ``axes`` signed ones, so that about ``candidates`` rows are met, repeats counted."""
-        wanted = -(-2 * axes * self.candidates // max(1, self.tables * entries))
-        return min(2 * axes, max(self.least_probes, wanted))
-
 
 def hadamard(x: np.ndarray) -> np.ndarray:
     """The Walsh-Hadamard transform of each row, whose length is a power of two."""
@@ -126,6 +123,27 @@ def _slotted(entries: DataFrame, settings: Settings, most: int) -> DataFrame:
     return entries.select("entry", "vector").mapInArrow(run, "entry bigint, vector binary, slots array<int>")
 
 
+def _asked(queries: DataFrame, stored: DataFrame, settings: Settings, axes: int) -> DataFrame:
+    """(entry, vector, slots) of queries: as many probes as meet ``candidates`` stored entries, repeats counted."""
+    sizes = np.zeros(2 * axes * settings.tables, dtype=np.int64)
+    for row in stored.groupBy("slot").count().collect():  # one row for each slot
+        sizes[row["slot"]] = row["count"]
+    least = min(settings.least_probes, 2 * axes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = _matrix(batch.column(1).to_pylist())
+            slots = signed_axes(vectors, settings, 2 * axes) + (np.arange(settings.tables, dtype=np.int32) * 2 * axes)[None, :, None]
+            met = sizes[slots].sum(axis=1).cumsum(axis=1)
+            probes = np.minimum(2 * axes, np.maximum(least, 1 + (met < settings.candidates).sum(axis=1)))
+            found = [own[:, :n].reshape(-1) for own, n in zip(slots, probes.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], names=["entry", "vector", "slots"])
+
+    return queries.select("entry", "vector").mapInArrow(run, "entry bigint, vector binary, slots array<int>")
+
+
 def _best(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The ``most`` nearest vectors of each query: (query, id, exact score)."""
     found = ([], [], [])
@@ -191,11 +209,10 @@ def nearest(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embedd
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     size = (len(first["vector"]) - 1) // first["vector"][0]
     axes = 1 << max(1, (size - 1).bit_length())
-    probes = settings.probes(entries.count(), axes)
 
     each = lambda df: df.select("entry", "vector", F.explode("slots").alias("slot"))
     stored = each(settle(_slotted(entries, settings, 1), "stored"))
-    asked = each(settle(_slotted(entries.where("asks"), settings, probes), "asked"))
+    asked = each(settle(_asked(entries.where("asks"), stored, settings, axes), "asked"))
     parts = stored.groupBy("slot").agg(F.ceil(F.count("*") / settings.bucket_rows).cast("int").alias("parts"))
     groups = asked.groupBy("slot").agg(F.ceil(F.count("*") / settings.query_rows).cast("int").alias("groups"))
     # One row for each slot, of which there are 2 * axes * tables.

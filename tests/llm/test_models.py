@@ -171,3 +171,14 @@ def test_recall_with_few_probes(spark):
 def test_hadamard_is_orthogonal():
     turned = neighbours.hadamard(np.eye(16))
     assert np.allclose(turned @ turned.T, np.eye(16))
+
+
+def test_a_query_in_sparse_surroundings_looks_further(spark):
+    rng = np.random.default_rng(12)
+    crowd = rng.normal(0, 1, 64)
+    data = [(20 * i + 1, (crowd + 0.05 * rng.normal(0, 1, 64)).tolist()) for i in range(10_000)]
+    data += [(20 * i, (-crowd + 3 * rng.normal(0, 1, 64)).tolist()) for i in range(30)]
+    frame = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest(frame, F.col("vec_id") % 20 == 0).collect()
+    want = {(q, i) for q, _, i, _ in nearest(data)}
+    assert len(got) == len(want) and len(want & {(r["query_id"], r["vec_id"]) for r in got}) / len(want) >= 0.9
