@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tarmac.operators.joins import latest_by
 from tarmac.operators.ordered import running_sum
-from tarmac.session import scratch_dir
+from tarmac.session import scratch_dir, settle
 
 
 def split(
@@ -39,14 +39,15 @@ def split(
 def train(df: DataFrame, features: Sequence[str], kind: str = "logistic", y: str = "target", seed: int = 7) -> PipelineModel:
     """The fitted pipeline, without its training summary.
 
+    Every stage reads the rows again, so they are written once, with the columns that count.
     A summary holds the session, and is sent to the tasks with its model; a session in which
     anything was observed can't be (seen with Spark 4.1). A stored model has none.
     """
     names = list(features)
     filled = [f"{c}__f" for c in names]
-    numeric = df.filter(F.col(y).isNotNull()).select(
+    numeric = settle(df.filter(F.col(y).isNotNull()).select(
         F.col(y).cast("double").alias("label"), *[F.col(c).cast("double").alias(c) for c in names]
-    )
+    ), "training")
     stages = [
         Imputer(inputCols=names, outputCols=filled, strategy="mean"),
         VectorAssembler(inputCols=filled, outputCol="raw"),

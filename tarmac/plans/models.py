@@ -9,6 +9,7 @@ from tarmac.plans.aggregates import TARGETS, WINDOWS, gold_counts
 from tarmac.plans.joining import airports, delays, intervals
 from tarmac.plans.registry import query
 from tarmac.plans.views import Tables
+from tarmac.session import settle
 
 # Cumulative counts over all scores in one ordered pass; ties are peers of a RANGE frame.
 _CURVE = """(SELECT DISTINCT model_version, p_delay, sum(target) OVER w AS tp, count(*) OVER w AS seen, sum(target) OVER (PARTITION BY model_version, p_delay) AS pos
@@ -196,8 +197,10 @@ def m03(t: Tables):
     WHERE model_version = 'v1' HAVING abs(corr(p_delay, target)) < 0.95""")
 def m04(t: Tables):
     rows = training_rows(t)
-    real = _evaluated(rows, "logistic").withColumn("model_version", F.lit("real"))
-    mixed = _evaluated(learning.shuffled_labels(rows), "logistic").withColumn("model_version", F.lit("shuffled"))
+    # Written once: training and test both read the shuffled rows, and two verdicts the real metrics.
+    real = settle(_evaluated(rows, "logistic").withColumn("model_version", F.lit("real")), "real")
+    shuffled = settle(learning.shuffled_labels(rows), "shuffled")
+    mixed = _evaluated(shuffled, "logistic").withColumn("model_version", F.lit("shuffled"))
     metrics = real.unionByName(mixed)
     # The gate must block a model of shuffled labels, and the real one must beat chance.
     verdict = evaluate.gate(metrics, "shuffled", "real").select(
