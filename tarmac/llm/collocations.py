@@ -47,8 +47,8 @@ class Settings:
     scale: int = 2_000_000
     covered: int = 80  # per cent of a phrase's occurrences inside a longer one that make it redundant
     filter_bits: int = 1 << 28
-    sorted_paths: int = 500_000  # paths that a task sorts at once
-    task_nodes: int = 1_500_000  # nodes held by a task before it hands them on
+    sorted_paths: int = 200_000  # paths that a task sorts at once
+    task_nodes: int = 750_000  # nodes held by a task before it hands them on
     asked_rows: int = 200_000  # requests that one copy of a range's automaton answers
 
 

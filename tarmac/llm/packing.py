@@ -52,9 +52,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
-        for batch in gathered(batches, "text"):
+        for batch in gathered(batches, "text", 2 * BLOCK_BYTES):
             column = text_column(batch, "text")
-            for lo, hi in blocks(column, 8 * BLOCK_BYTES):
+            for lo, hi in blocks(column, 2 * BLOCK_BYTES):
                 ids, at = encoder.encode_column(column.slice(lo, hi - lo))
                 # Each text's ids, then its end.
                 rows = np.arange(hi - lo)

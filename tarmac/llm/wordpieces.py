@@ -30,7 +30,7 @@ from tarmac.llm.text import LOWER, raw
 # Fixed value: how the tokenizer parts a normalised text.
 RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Words, and runs, in each of two generations that a process remembers; runs encoded in one call.
-MOST_WORDS, MOST_RUNS, TOGETHER = 330_000, 330_000, 512
+MOST_WORDS, MOST_RUNS, TOGETHER = 120_000, 120_000, 512
 #: Bytes of the longest word or run that is remembered.
 LONGEST = 64
 
